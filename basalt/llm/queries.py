@@ -5,15 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from basalt.llm.common import table
+from basalt.llm.lines import line_report
 from basalt.llm.simhash import simhash_groups
+from basalt.llm.toxicity import toxicity_scores
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_simhash": op2_simhash,
+    "op3_toxicity": op3_toxicity,
+    "op5_line_dedup": op5_line_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}
