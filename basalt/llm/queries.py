@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+import public_tokenizers as tokenizers
+
+from basalt.llm.bpe import bpe_report
 from basalt.llm.common import table
 from basalt.llm.lines import line_report
+from basalt.llm.mixing import mix_report
 from basalt.llm.simhash import simhash_groups
 from basalt.llm.toxicity import toxicity_scores
 
@@ -18,14 +22,24 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_report(table(spark, sf_dir, "documents"), tokenizers.path("byte_bpe_50k.tiktoken"), tokenizers.PATTERN)
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(table(spark, sf_dir, "documents"))
 
 
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_simhash": op2_simhash,
     "op3_toxicity": op3_toxicity,
+    "op4_byte_bpe": op4_byte_bpe,
     "op5_line_dedup": op5_line_dedup,
+    "op10_mixing": op10_mixing,
 }
 
 ORACLE_SQL: dict[str, str] = {}
