@@ -1,8 +1,67 @@
-"""Corpus pipeline (stages are added as their operators land)."""
+"""The corpus pipeline: five stages from raw documents to token digests."""
 
-STAGES = []
+from __future__ import annotations
+
+import public_tokenizers as tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from basalt.llm.bpe import bpe_report
+from basalt.llm.common import cut, table
+from basalt.llm.lines import dedup_lines
+from basalt.llm.mixing import mixed_documents
+from basalt.llm.simhash import simhash_groups
+from basalt.llm.toxicity import with_toxicity
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored under one half stay."""
+    scored = with_toxicity(docs, table(spark, sf_dir, "labels"), "pipeline_toxicity")
+    return scored.where("pipeline_toxicity < 0.5").drop("pipeline_toxicity")
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts keep the lines that no earlier line resembles; a text left with none is gone."""
+    done = dedup_lines(docs)
+    blank = r"\S"
+    emptied = F.exists("lines", lambda x: x.rlike(blank)) & ~F.exists("kept", lambda x: x.rlike(blank))
+    left = done.where(~F.coalesce(emptied, F.lit(False)))
+    text = F.array_join("kept", "\n")
+    changed = {"text": text} | ({"n_chars": F.length(text).cast("long")} if "n_chars" in docs.columns else {})
+    return left.withColumns(changed).select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of every SimHash group stays."""
+    gone = simhash_groups(docs.select("doc_id", "text")).where("doc_id <> component_id").select("doc_id")
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the mix takes it."""
+    return mixed_documents(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of what is left."""
+    return bpe_report(docs, tokenizers.path("byte_bpe_50k.tiktoken"), tokenizers.PATTERN)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line_dedup", drop_repeated_lines),
+    ("simhash", drop_near_copies),
+    ("mixing", mix_sources),
+    ("byte_bpe", encode),
+]
+
+#: Viterbi decoding and the fitted classifier have no SQL form; tests hold each stage to brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each written as Parquet and read again by the next."""
+    docs = table(spark, sf_dir, "documents")
+    for _, stage in STAGES[:-1]:
+        docs = cut(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)
