@@ -8,12 +8,18 @@ import public_tokenizers as tokenizers
 
 from basalt.llm.bpe import bpe_report
 from basalt.llm.common import table
+from basalt.llm.itq import embedding_groups
 from basalt.llm.lines import line_report
 from basalt.llm.mixing import mix_report
+from basalt.llm.rabitq import search
 from basalt.llm.simhash import simhash_groups
 from basalt.llm.toxicity import toxicity_scores
 
 
+def op1_itq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_groups(table(spark, sf_dir, "embeddings"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
 
@@ -30,15 +36,21 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(table(spark, sf_dir, "documents"))
 
 
+def op8_rabitq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "embeddings"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op1_itq": op1_itq,
     "op2_simhash": op2_simhash,
     "op3_toxicity": op3_toxicity,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_line_dedup": op5_line_dedup,
+    "op8_rabitq": op8_rabitq,
     "op10_mixing": op10_mixing,
 }
 
