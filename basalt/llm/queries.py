@@ -13,6 +13,7 @@ from basalt.llm.lines import line_report
 from basalt.llm.mixing import mix_report
 from basalt.llm.rabitq import search
 from basalt.llm.simhash import simhash_groups
+from basalt.llm.tokencount import token_counts
 from basalt.llm.toxicity import toxicity_scores
 
 
@@ -36,6 +37,10 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(table(spark, sf_dir, "documents"))
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), tokenizers.path("piece_bpe_32k.model"))
+
+
 def op8_rabitq(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(table(spark, sf_dir, "embeddings"))
 
@@ -50,6 +55,7 @@ QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_line_dedup": op5_line_dedup,
+    "op6_token_counts": op6_token_counts,
     "op8_rabitq": op8_rabitq,
     "op10_mixing": op10_mixing,
 }
