@@ -16,23 +16,25 @@ from pyspark.sql import functions as F
 #: White space as the tokenizers' pattern means it: the Unicode property, in place of ``\s``.
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Distinct words that a Python worker remembers, and characters taken at once.
-CACHE, CHUNK = 400_000, 3_000_000
+CACHE, CHUNK = 300_000, 3_000_000
 
 #: One contraction a word and round: its leftmost pair of the least rank, until none is left.
 _ENCODE = """
 WITH RECURSIVE state AS (
     SELECT w, pos, id, 0 AS round FROM start
     UNION ALL
-    SELECT w, pos, CASE WHEN here = best THEN merged ELSE id END, round + 1
-    FROM (
-        SELECT *, lag(here) OVER (PARTITION BY w ORDER BY pos) AS before, min(here) OVER (PARTITION BY w) AS best
+    (WITH pairs AS MATERIALIZED (
+        SELECT s.*, m.merged, m.merged::BIGINT * 4294967296 + s.pos AS here
         FROM (
-            SELECT s.*, m.merged, m.merged::BIGINT * 4294967296 + s.pos AS here
-            FROM (SELECT *, lead(id) OVER (PARTITION BY w ORDER BY pos) AS next_id FROM state) s
-            LEFT JOIN merges m ON m.first_id = s.id AND m.second_id = s.next_id
-        )
+            SELECT *, lead(id) OVER row AS next_id, lead(pos) OVER row AS next_pos
+            FROM state WINDOW row AS (PARTITION BY w ORDER BY pos)
+        ) s
+        LEFT JOIN merges m ON m.first_id = s.id AND m.second_id = s.next_id
+    ), best AS (
+        SELECT w, min(here) AS least, arg_min(next_pos, here) AS gone FROM pairs WHERE here IS NOT NULL GROUP BY w
     )
-    WHERE best IS NOT NULL AND (before IS NULL OR before <> best)
+    SELECT p.w, p.pos, CASE WHEN p.here = b.least THEN p.merged ELSE p.id END, p.round + 1
+    FROM pairs p JOIN best b USING (w) WHERE p.pos <> b.gone)
 )
 SELECT w, pos, id FROM state QUALIFY round = max(round) OVER (PARTITION BY w)
 """
@@ -48,6 +50,7 @@ class ByteBPE:
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         self.pattern = regex.compile(pattern.replace(r"[^\s", f"[^{_SPACE}").replace(r"\S", f"[^{_SPACE}]").replace(r"\s", f"[{_SPACE}]"))
         self.known: dict[str, tuple[bytes, bytes]] = {}
+        self.older: dict[str, tuple[bytes, bytes]] = {}
         pairs = [(ranks[t[:i]], ranks[t[i:]], r) for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
         first, second, merged = (pa.array(c, pa.int32()) for c in zip(*pairs))
         self.db = duckdb.connect(config={"threads": "1", "memory_limit": "500MB", "temp_directory": ""})
@@ -82,8 +85,6 @@ class ByteBPE:
 
     def learn(self, words: list[str]) -> None:
         """Encode and decode the words that are not remembered yet."""
-        if len(self.known) + len(words) > CACHE:
-            self.known.clear()
         for i in range(0, len(words), 50_000):
             part = words[i : i + 50_000]
             w, pos, ids = self.encode([x.encode() for x in part])
@@ -105,12 +106,20 @@ class ByteBPE:
 
     def coded(self, parts: list[list[str]]) -> Iterator[tuple[bytes, bytes]]:
         """For each list of matches, its ids as little-endian 32-bit integers and its bytes."""
-        missing = {x for part in parts for x in part}.difference(self.known)
+        words = {x for part in parts for x in part}
+        if len(self.known) + len(words) > CACHE:  # what is not used again until the next time goes
+            self.older, self.known = self.known, {}
+        known, older = self.known, self.older
+        words.difference_update(known)
+        missing = []
+        for word in words:
+            found = older.get(word)
+            if found is None:
+                missing.append(word)
+            else:
+                known[word] = found
         if missing:
-            if len(self.known) + len(missing) > CACHE:
-                missing = {x for part in parts for x in part}
             self.learn(sorted(missing))
-        known = self.known
         for part in parts:
             found = [known[x] for x in part]
             yield b"".join([x[0] for x in found]), b"".join([x[1] for x in found])

@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 import public_tokenizers as tokenizers
 
 from basalt.llm.bpe import bpe_report
+from basalt.llm.chat import ROTATE_SQL, rotate
 from basalt.llm.common import table
+from basalt.llm.html import extract
 from basalt.llm.itq import embedding_groups
 from basalt.llm.lines import line_report
 from basalt.llm.mixing import mix_report
@@ -41,10 +43,18 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), tokenizers.path("piece_bpe_32k.model"))
 
 
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op8_rabitq(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(table(spark, sf_dir, "embeddings"))
 
 
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rotate(table(spark, sf_dir, "conversations"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(table(spark, sf_dir, "documents"))
 
@@ -56,8 +66,10 @@ QUERIES = {
     "op4_byte_bpe": op4_byte_bpe,
     "op5_line_dedup": op5_line_dedup,
     "op6_token_counts": op6_token_counts,
+    "op7_html": op7_html,
     "op8_rabitq": op8_rabitq,
+    "op9_chat": op9_chat,
     "op10_mixing": op10_mixing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op9_chat": ROTATE_SQL}
