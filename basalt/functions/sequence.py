@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -66,10 +69,6 @@ def _hydrophobic_core(s: str) -> tuple[int, int, float] | None:
 def targeting(sequences: Column) -> Column:
     """Struct (signal, cleavage, lipoprotein, cysteine) from the first 45 residues, by a
     vectorised Python function: the search over stretches has no compact SQL form."""
-    import re
-
-    import pandas as pd
-
     box = re.compile(r"[LVI][ASTVIG][GAS]C")
 
     @F.pandas_udf("signal boolean, cleavage int, lipoprotein boolean, cysteine int")
