@@ -164,8 +164,8 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
 
     Words decide, so documents without any are in no mix; all columns pass through.
     """
-    taken = mix(docs).where("copies > 0").select(F.col("doc_id").alias("mix_id"), F.col("h").alias("mix_h"), "copies").groupBy("mix_id", "mix_h").agg(F.max("copies").alias("copies"))
+    taken = mix(docs).where("copies > 0").select(F.col("doc_id").alias("mix_id"), F.col("h").alias("mix_h"), "copies").groupBy("mix_id", "mix_h").agg(F.max("copies").alias("mix_copies"))
     keyed = docs.withColumn("mix_h_own", F.xxhash64("doc_id", "text"))
     joined = keyed.join(taken, (keyed["doc_id"] == taken["mix_id"]) & (keyed["mix_h_own"] == taken["mix_h"]))
-    repeated = joined.withColumn("mix_copy", F.explode(F.expr("sequence(1, copies)")))
+    repeated = joined.withColumn("mix_copy", F.explode(F.sequence(F.lit(1).cast("long"), taken["mix_copies"])))
     return repeated.select(*(keyed[c] for c in docs.columns))

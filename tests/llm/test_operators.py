@@ -17,7 +17,7 @@ from basalt.llm import bpe, html, itq, lines, mixing, rabitq, simhash, tokencoun
 from basalt.llm.chat import rotate
 from basalt.llm.components import connected_components
 
-DOCS = "doc_id long, text string, lang string, source string, n_chars long, node string, root string, k string, v string, size string, h string, fp string"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, node string, root string, k string, lines string, size string, copies string, fp string"
 RNG = random.Random(5)
 WORDS = [f"{a}{b}" for a in "the an of re in to wh er".split() for b in "tion ing st ed es on at ly th ea".split()]
 
