@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 # -- casts and text normalisation ------------------------------------------------------------
 
+#: Texts that only say that nothing is known. Fixed values.
 EMPTYISH = ("", "-", "unknown", "na", "n/a", "none", "null", "not collected", "not applicable", "missing")
 
 
@@ -139,6 +140,7 @@ def sequence_key(c: Column) -> Column:
 
 # -- scores ----------------------------------------------------------------------------------
 
+#: Gates and bonuses of a hit. Fixed values.
 MAX_EVALUE, MIN_COVERAGE = 1e-5, 0.5
 LIGAND_BONUS, PARTNER_BONUS, ANNOTATION_BONUS = 0.10, 0.05, 0.05
 MAX_HIT_SCORE = 1.0 + LIGAND_BONUS + PARTNER_BONUS + ANNOTATION_BONUS

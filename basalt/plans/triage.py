@@ -21,6 +21,7 @@ PRIORITY = {"virulence": 3, "drug_target": 3, "amr": 2, "essential": 2, "mechani
 SOURCE_RANK = {"uniprot_experimental": 60, "deeptmhmm": 50, "signalp": 50, "psortb": 45, "interproscan": 40, "uniprot": 30, "eggnog": 20, "heuristic": 10}
 CLOSE_HUMAN_IDENTITY = 40.0
 
+#: Property and classification texts of specialty tables. Fixed values.
 VIRULENCE = ("virulence factor", "virulance factor")
 TARGET_ONLY = "antibiotic target in susceptible species"
 RESISTANCE = (
