@@ -30,15 +30,18 @@ def read_pieces(path: str) -> dict[str, float]:
     return scores
 
 
-def merge(symbols: list[str], scores: dict[str, float]) -> list[str]:
-    """Plain BPE of a short sequence: best score first, leftmost on ties."""
-    symbols = list(symbols)
-    while True:
+def last_merge(token: str, scores: dict[str, float]) -> tuple[str, str] | None:
+    """The two tokens whose merge, the last of plain BPE, makes ``token``; None if BPE of its
+    characters does not end in it. Best score first, leftmost on ties."""
+    symbols, last = list(token), ("", token)
+    while len(symbols) > 1:
         best = max(((scores[a + b], -i) for i, (a, b) in enumerate(zip(symbols, symbols[1:])) if a + b in scores), default=None)
         if best is None:
-            return symbols
+            return None
         i = -best[1]
+        last = symbols[i], symbols[i + 1]
         symbols[i : i + 2] = [symbols[i] + symbols[i + 1]]
+    return last
 
 
 class Transducer:
@@ -56,19 +59,21 @@ class Transducer:
     def __init__(self, scores: dict[str, float]) -> None:
         self.scores = scores
         self.prefixes = {piece[:n] for piece in scores for n in range(1, len(piece) + 1)}
-        self.together: dict[tuple[str | None, str], bool] = {}
+        self.together: dict[tuple[str, str], bool] = {}
+        self.spines: dict[tuple[str, int], list[str] | None] = {}
         self.reset()
 
     def reset(self) -> None:
         self.numbers: dict[tuple, int] = {}
         self.keys: list[tuple] = []
         self.moves: list[dict[str, tuple[int, int]]] = []
-        self.start = self.number("", (("", 0, False),))
+        self.start = self.number("", ((0, "", 0, False),))
 
     def number(self, suffix: str, places: tuple) -> int:
-        """The state's number. A place is (last token, count relative to the end, whether the
-        word's first token is a lone space mark); "" stands at a word's start, None after a
-        character that nothing merges with."""
+        """The state's number. A place is (offset in the suffix, last token there, count relative
+        to the end, whether the word's first token is a lone space mark); "" stands at a word's
+        start, None after a character that nothing merges with. Only places from which a piece
+        may still grow are kept, and the end."""
         found = self.numbers.get((suffix, places))
         if found is None:
             found = self.numbers[suffix, places] = len(self.keys)
@@ -76,34 +81,62 @@ class Transducer:
             self.moves.append({})
         return found
 
+    def spine(self, token: str, side: int) -> list[str] | None:
+        """The symbols that stand at the token's end (side 1) or start (side 0) while BPE builds
+        it, from its character on; None if BPE does not build it."""
+        known = self.spines.get((token, side), False)
+        if known is not False:
+            return known
+        parts = last_merge(token, self.scores)
+        found = None if parts is None else [token] if len(token) == 1 else [*(self.spine(parts[side], side) or [parts[side]]), token]
+        self.spines[token, side] = found
+        return found
+
     def allowed(self, first: str | None, second: str) -> bool:
-        """Whether BPE of the two tokens' text gives just these two."""
+        """Whether BPE of the two tokens' text gives just these two: as both are built, nothing
+        may merge across the border before both are done, nor then."""
+        right = self.spine(second, 0)
+        if right is None or not first:
+            return right is not None
         known = self.together.get((first, second))
         if known is None:
+            left, scores, i, j = self.spine(first, 1), self.scores, 0, 0
+            known = True
+            while True:
+                across = scores.get(left[i] + right[j])
+                one = scores[left[i + 1]] if i + 1 < len(left) else None
+                two = scores[right[j + 1]] if j + 1 < len(right) else None
+                if across is not None and (one is None or across > one) and (two is None or across >= two):
+                    known = False
+                    break
+                if one is None and two is None:
+                    break
+                if two is None or (one is not None and one >= two):
+                    i += 1
+                else:
+                    j += 1
             if len(self.together) > MAX_WORDS:
                 self.together.clear()
-            known = merge([*(first or ""), *second], self.scores) == ([first, second] if first else [second])
             self.together[first, second] = known
         return known
 
     def compile(self, at: int, char: str) -> tuple[int, int]:
         """The transition (state after ``char``, change of the count), made and kept."""
         suffix, places = self.keys[at]
-        if char not in self.scores:
-            lone = places[-1][2]
-            moved = self.number("", ((None, 0, lone),)), len(char.encode())
+        scores, prefixes = self.scores, self.prefixes
+        if char not in scores:
+            moved = self.number("", ((0, None, 0, places[-1][3]),)), len(char.encode())
         else:
             whole = suffix + char
-            for i, (last, count, lone) in enumerate(places):
-                token = whole[i:]
-                if token in self.scores and self.allowed(last, token):
-                    grown = [*places, (token, count + 1, token == SPACE if last == "" else lone)]
+            for offset, last, count, lone in places:
+                token = whole[offset:]
+                if token in scores and self.allowed(last, token):
+                    total, first_lone = count + 1, token == SPACE if last == "" else lone
                     break
-            total = grown[-1][1]
-            keep = 0
-            while keep < len(whole) and whole[keep:] not in self.prefixes:
-                keep += 1
-            moved = self.number(whole[keep:], tuple((t, n - total, x) for t, n, x in grown[keep:])), total - places[-1][1]
+            live = [x for x in places if whole[x[0] :] in prefixes]
+            keep = live[0][0] if live else len(whole)
+            kept = (*((o - keep, t, n - total, x) for o, t, n, x in live), (len(whole) - keep, token, 0, first_lone))
+            moved = self.number(whole[keep:], kept), total - places[-1][2]
         self.moves[at][char] = moved
         return moved
 
@@ -116,7 +149,7 @@ class Transducer:
             moved = moves[at].get(char) or self.compile(at, char)
             at = moved[0]
             count += moved[1]
-        return count, self.keys[at][1][-1][2]
+        return count, self.keys[at][1][-1][3]
 
 
 class Counter:
