@@ -12,10 +12,12 @@ from basalt.llm.components import connected_components
 THRESHOLD = 0.8
 #: Characters in a shingle of the exact comparison.
 SHINGLE = 5
-#: Characters of the shingles that the signature samples, one from the start of each word.
-ANCHORED = 16
-#: Orders of the shingle hashes; each gives a band the smallest and the largest hash.
-ORDERS = tuple((0x9E3779B97F4A7C15 * (i + 1) ^ (i << 61)) % 2**64 - 2**63 for i in range(8))
+#: Hash functions over a line's shingles, one for each band, and the orders in which each one
+#: gives its least and its greatest hash; these four values are the band.
+BANDS = tuple((0x9E3779B97F4A7C15 * (i + 1)) % 2**64 - 2**63 for i in range(16))
+ORDERS = (0x1E3779B97F4A7C15, 0x5C6EF372FE94F82A)
+#: Characters of a line that are cut into shingles at once.
+STRETCH = 64
 #: Hashes of a line's shingles that are kept to tell clearly different lines apart.
 SKETCH = 64
 #: Pivots that a bucket elects in its second round, besides the most central line; each later
@@ -32,17 +34,22 @@ def split_lines(docs: DataFrame) -> DataFrame:
 def line_bands(lines: DataFrame) -> DataFrame:
     """Rows (k, bands): each different line's key and its band keys.
 
-    The signature samples one 16-character shingle at each word's start; every order of the
-    sample's hashes yields two MinHash values (least and greatest), and they form a band. The
-    shingles of a line are exploded and folded within the task that reads it.
+    A band is four MinHash values over all of the line's 5-character shingles, from a hash
+    function of its own. Different lines are gathered first, so that the shingles of a line are
+    exploded and folded within the task that holds it.
     """
-    words = lines.select(F.xxhash64("line").alias("k"), F.split("line", " ").alias("words"))
-    each = words.select("k", "words", F.posexplode("words").alias("at", "word"))
-    three = F.concat_ws(" ", "word", F.get("words", F.col("at") + 1), F.get("words", F.col("at") + 2))
-    hashed = each.select("k", F.xxhash64(F.substring(three, 1, ANCHORED)).alias("h"))
-    ordered = [F.col("h").bitwiseXOR(F.lit(c)) for c in ORDERS]
-    folded = hashed.groupBy("k").agg(*(f(x).alias(f"{n}{i}") for i, x in enumerate(ordered) for n, f in (("lo", F.min), ("hi", F.max))))
-    return folded.select("k", F.array(*(F.xxhash64(F.lit(i), f"lo{i}", f"hi{i}") for i in range(len(ORDERS)))).alias("bands"))
+    single = lines.select(F.xxhash64("line").alias("k"), "line").groupBy("k").agg(F.min("line").alias("line"))
+    # Stretches overlap, so every shingle lies whole in the one where it starts.
+    stretch = F.regexp_extract_all("line", F.lit(f"(?s)(?=(.{{1,{STRETCH + SHINGLE - 1}}})).{{1,{STRETCH}}}"), F.lit(1))
+    parts = single.select("k", (F.length("line") <= SHINGLE).alias("short"), F.explode(stretch).alias("part"))
+    parts = parts.where(F.col("short") | (F.length("part") >= SHINGLE))
+    at = F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("part") - (SHINGLE - 1))))
+    hashed = parts.select("k", "part", at.alias("at")).select("k", F.xxhash64(F.substring("part", F.col("at"), F.lit(SHINGLE))).alias("h"))
+    mixed = hashed.select("k", *(F.xxhash64(F.col("h").bitwiseXOR(F.lit(c))).alias(f"h{i}") for i, c in enumerate(BANDS)))
+    ends = [(f"{n}{i}_{j}", f(F.col(f"h{i}").bitwiseXOR(F.lit(c)))) for i in range(len(BANDS)) for j, c in enumerate(ORDERS) for n, f in (("lo", F.min), ("hi", F.max))]
+    folded = mixed.groupBy("k").agg(*(x.alias(n) for n, x in ends))
+    keys = (F.xxhash64(F.lit(i), *(f"{n}{i}_{j}" for j in range(len(ORDERS)) for n in ("lo", "hi"))) for i in range(len(BANDS)))
+    return folded.select("k", F.array(*keys).alias("bands"))
 
 
 def shingles(line: Column) -> Column:
@@ -147,8 +154,8 @@ def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     with a null doc_id keep all their lines; rows that repeat a doc_id and its lines are one
     document, so they keep the same lines; further columns pass through; an empty table gives
     an empty result. Lines are told apart by a 64-bit hash. Lines that are alike but share no
-    band are not found: at a sample similarity of 0.6 a pair is missed once in 35 times, at 0.8
-    less than once in 3,000 times.
+    band are not found: at a similarity of 0.8 a pair is missed less than once in 1,000 times,
+    of sets of some five shingles once in 170 times.
     """
     marks = duplicate_lines(docs, threshold).select(F.col("doc_id").alias("lost_id"), F.col("marks").alias("lost_marks"))
     joined = docs.join(marks, docs["doc_id"] == marks["lost_id"], "left")

@@ -149,6 +149,23 @@ def test_lines_of_dense_groups(spark):
     assert want <= got and len(got - want) <= 0.05 * (60 - len(want))  # none lost wrongly, few missed
 
 
+def test_every_link_of_edited_lines(spark):
+    rng = random.Random(11)
+    texts = []
+    for words in [2, 3, 4, 6, 10, 15, 25] * 12:
+        line = prose(words, rng)
+        i = rng.randrange(len(line))
+        texts += [line, line + "!", line[:i] + "#" + line[i + 1 :]]
+    for _ in range(30):  # no spaces at all
+        line = "".join(rng.choice("abcdefghij") for _ in range(rng.randrange(8, 200)))
+        i = rng.randrange(len(line))
+        texts += [line, line + "!", line[:i] + "#" + line[i + 1 :]]
+    rows = [(i, x, "s") for i, x in enumerate(texts)]
+    stays = {i for i, _ in plain_lines(rows)}
+    got = {r["doc_id"] for r in lines.line_report(table(spark, rows)).collect() if r["n_kept"]}
+    assert len(rows) - len(stays) > 150 and got == stays
+
+
 def test_lines_repeats_nulls_and_nothing(spark):
     out = lines.line_report(table(spark, [(1, "same\nline", "s"), (1, "same\nline", "s"), (None, "same", "s")])).collect()
     assert sorted((r["n_lines"], r["n_kept"]) for r in out) == [(1, 1), (2, 2), (2, 2)]
