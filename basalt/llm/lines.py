@@ -20,9 +20,10 @@ ORDERS = (0x1E3779B97F4A7C15, 0x5C6EF372FE94F82A)
 STRETCH = 64
 #: Hashes of a line's shingles that are kept to tell clearly different lines apart.
 SKETCH = 64
-#: Pivots that a bucket elects in its second round, besides the most central line; each later
-#: round elects four times as many.
-PIVOTS = 8
+#: Pivots that a bucket elects in each round, besides the most central line.
+PIVOTS = (0, 8, 32)
+#: Lines in a block of a bucket; the blocks of a bucket meet pairwise, each two in a task.
+BLOCK = 256
 
 
 def split_lines(docs: DataFrame) -> DataFrame:
@@ -85,10 +86,11 @@ def line_links(lines: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Rows (a, b): keys of different lines that are alike, enough of them to connect all
     alike lines which share a band.
 
-    No bucket is expanded into pairs. Its most central line is compared with all its lines; those
-    that end in another component elect further pivots, which are again compared with all lines
-    of the bucket in other components, until every line is in the component of a pivot. Lines
-    that a component joins already need no comparison.
+    A bucket's most central line is compared with all its lines; those that end in another
+    component elect further pivots, which are again compared with all lines of the bucket in
+    other components. Lines that a component joins already need no comparison. What is then
+    left of a bucket in more than one component is compared in full: every two of its lines
+    whose components differ meet, block by block.
     """
     rows = cut(line_bands(lines).select("k", F.explode("bands").alias("band")))
     many = rows.groupBy("band").agg(F.min("k").alias("lo"), F.max("k").alias("hi"), F.count("*").alias("n")).where("lo <> hi").select("band", "n")
@@ -101,31 +103,48 @@ def line_links(lines: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     texts = cut(sketched(found.groupBy("k").agg(F.min("line").alias("line"))))
 
     links, tried = None, None
-    members = members.withColumn("root", F.col("k"))
-    open_rows, asked, wanted_pivots = members, None, 0
-    while True:
+    members = members.join(texts.select("k", "size"), "k").withColumn("root", F.col("k"))
+
+    def judge(pairs: DataFrame) -> DataFrame:
+        """Compares the pairs not yet tried; rows (root, top) of the components they join."""
+        nonlocal links, tried
+        pairs = cut(pairs.distinct() if tried is None else pairs.distinct().join(tried, ["a", "b"], "left_anti"))
+        tried = pairs.select("a", "b") if tried is None else tried.unionByName(pairs.select("a", "b"))
+        new = cut(similar(pairs.select("a", "b"), texts, threshold).join(pairs, ["a", "b"]).select("a", "b", "ra", "rb"))
+        links = new.select("a", "b") if links is None else links.unionByName(new.select("a", "b"))
+        joined = connected_components(new.select(F.col("ra").alias("a"), F.col("rb").alias("b")))
+        return cut(joined.select(F.col("node").alias("root"), F.col("root").alias("top")))
+
+    def renamed(joined: DataFrame) -> DataFrame:
+        return cut(members.join(joined, "root", "left").select("band", "k", "n", "size", "weight", F.coalesce("top", "root").alias("root")))
+
+    near = lambda x, y: F.least(x, y) >= threshold * F.greatest(x, y)
+    open_rows, asked = members, None
+    for wanted_pivots in PIVOTS:
         best = open_rows.groupBy("band").agg(F.max(F.struct("weight", "k"))["k"].alias("center"), F.count("*").alias("open"))
         drawn = F.pmod(F.xxhash64("k", "band"), F.lit(1 << 40)) < F.lit(float(1 << 40)) * wanted_pivots / F.col("open")
         pivots = open_rows.join(best, "band").where((F.col("k") == F.col("center")) | drawn)
-        pivots = pivots.select("band", F.col("k").alias("pivot"), F.col("root").alias("pivot_root"))
-        asked = cut(pivots if asked is None else asked.unionByName(pivots))
-        told = members.join(pivots, "band").where("root <> pivot_root")
-        pairs = told.select(F.least("k", "pivot").alias("a"), F.greatest("k", "pivot").alias("b"), F.least("root", "pivot_root").alias("ra"), F.greatest("root", "pivot_root").alias("rb")).distinct()
-        pairs = cut(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
-        tried = pairs.select("a", "b") if tried is None else tried.unionByName(pairs.select("a", "b"))
-        judged = similar(pairs.select("a", "b"), texts, threshold)
-        new = cut(judged.join(pairs, ["a", "b"]).select("a", "b", "ra", "rb"))
-        links = new.select("a", "b") if links is None else links.unionByName(new.select("a", "b"))
-        joined = connected_components(new.select(F.col("ra").alias("a"), F.col("rb").alias("b"))).select(F.col("node").alias("root"), F.col("root").alias("top"))
-        joined = cut(joined)
-        members = cut(members.join(joined, "root", "left").select("band", "k", "n", "weight", F.coalesce("top", "root").alias("root")))
-        asked = asked.join(joined, asked["pivot_root"] == joined["root"], "left").select("band", "pivot", F.coalesce("top", "pivot_root").alias("pivot_root"))
+        pivots = cut(pivots.select("band", F.col("k").alias("pivot"), F.col("size").alias("pivot_size"), F.col("root").alias("pivot_root")))
+        told = members.join(pivots, "band").where("root <> pivot_root").where(near("size", "pivot_size"))
+        joined = judge(told.select(F.least("k", "pivot").alias("a"), F.greatest("k", "pivot").alias("b"), F.least("root", "pivot_root").alias("ra"), F.greatest("root", "pivot_root").alias("rb")))
+        members = renamed(joined)
+        asked = pivots if asked is None else asked.unionByName(pivots)
+        asked = asked.join(joined, asked["pivot_root"] == joined["root"], "left").select("band", "pivot", "pivot_size", F.coalesce("top", "pivot_root").alias("pivot_root"))
         # Lines still open: in no component of a pivot of their bucket.
         met = asked.select("band", F.col("pivot_root").alias("root")).distinct()
         open_rows = cut(members.where("n > 2").join(met, ["band", "root"], "left_anti"))
-        wanted_pivots = 4 * wanted_pivots or PIVOTS
         if open_rows.isEmpty():
-            return links
+            break
+    # Lines of a bucket may hang on different pivots and still be alike: all of them meet.
+    split = members.where("n > 2").groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("band")
+    dealt = members.join(split, "band").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("k", F.lit(7)), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    dealt = cut(dealt.select("band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "k", "size", "root"))
+    side = lambda x: dealt.select("band", "i", "j", *(F.col(c).alias(f"{c}_{x}") for c in ("own", "k", "size", "root")))
+    met = side("a").join(side("b"), ["band", "i", "j"]).where("k_a < k_b and root_a <> root_b and (i = j or own_a <> own_b)").where(near("size_a", "size_b"))
+    judge(met.select(F.col("k_a").alias("a"), F.col("k_b").alias("b"), F.least("root_a", "root_b").alias("ra"), F.greatest("root_a", "root_b").alias("rb")))
+    return links
 
 
 def duplicate_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

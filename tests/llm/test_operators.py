@@ -166,6 +166,23 @@ def test_every_link_of_edited_lines(spark):
     assert len(rows) - len(stays) > 150 and got == stays
 
 
+def test_a_bucket_of_chained_lines_is_closed(spark, monkeypatch):
+    rng = random.Random(12)
+    chain = [prose(40, rng).split()]
+    for _ in range(299):  # each from an earlier one
+        words = list(rng.choice(chain))
+        for _ in range(2):
+            words[rng.randrange(40)] = rng.choice(WORDS)
+        chain.append(words)
+    rows = [(i, " ".join(words), "s") for i, words in enumerate(chain)]
+    one = lambda x: x.select(F.xxhash64("line").alias("k"), F.array(F.lit(1).cast("long")).alias("bands")).distinct()
+    monkeypatch.setattr(lines, "line_bands", one)
+    if hasattr(lines, "BLOCK"):
+        monkeypatch.setattr(lines, "BLOCK", 40)
+    stays = {i for i, _ in plain_lines(rows)}
+    assert {r["doc_id"] for r in lines.line_report(table(spark, rows)).collect() if r["n_kept"]} == stays
+
+
 def test_lines_repeats_nulls_and_nothing(spark):
     out = lines.line_report(table(spark, [(1, "same\nline", "s"), (1, "same\nline", "s"), (None, "same", "s")])).collect()
     assert sorted((r["n_lines"], r["n_kept"]) for r in out) == [(1, 1), (2, 2), (2, 2)]
