@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from basalt.llm.common import WORD_PATTERN, cut
 
@@ -116,6 +117,11 @@ def whole_copies(groups: DataFrame, solved: DataFrame, cap: float = CAP, correct
     return given.select("skey", "size", F.floor(F.col("total") / F.col("n")).cast("long").alias("copies"), (F.col("total") % F.col("n")).alias("more"))
 
 
+def _skey() -> Column:
+    """A source's key, never null."""
+    return F.when(F.col("source").isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), F.col("source")))
+
+
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, copies, taken.
 
@@ -126,9 +132,8 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SH
     taken words miss its target by about its smallest documents at most, unless it has too few
     documents to come closer.
     """
-    skey = F.when(F.col("source").isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), F.col("source")))
     size = F.coalesce(F.regexp_count("text", F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
-    sized = cut(docs.select("doc_id", skey.alias("skey"), "source", size.alias("size"), F.xxhash64("doc_id", "text").alias("h")))
+    sized = cut(docs.select("doc_id", _skey().alias("skey"), "source", size.alias("size"), F.xxhash64("doc_id", "text").alias("h")))
     groups = cut(sized.groupBy("skey", "source", "size").agg(F.count("*").alias("n")))
     sources = groups.groupBy("skey", "source").agg(F.sum(F.col("n") * F.col("size")).alias("source_size"))
     targets = cut(source_targets(sources, weights, share, cap))
@@ -148,24 +153,30 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SH
     within = W.partitionBy("skey", "size", "part").orderBy("h", "doc_id")
     ranked = contested.withColumn("row", F.row_number().over(within)).join(offsets, ["skey", "size", "part"])
     more = (F.col("row") + F.col("offset") <= F.col("more")).cast("long")
-    settled = ranked.withColumn("copies", F.col("copies") + more).select("doc_id", "size", "source_size", "target", "copies", "h")
-    sure = placed.where("more = 0").select("doc_id", "size", "source_size", "target", "copies", "h")
+    settled = ranked.withColumn("copies", F.col("copies") + more).select("doc_id", "size", "source_size", "target", "copies", "h", "skey")
+    sure = placed.where("more = 0").select("doc_id", "size", "source_size", "target", "copies", "h", "skey")
     both = settled.unionByName(sure)
-    return both.select("doc_id", "size", "source_size", F.col("target").cast("double").alias("target"), F.col("copies").cast("long").alias("copies"), (F.col("copies") * F.col("size")).cast("long").alias("taken"), "h")
+    return both.select("doc_id", "size", "source_size", F.col("target").cast("double").alias("target"), F.col("copies").cast("long").alias("copies"), (F.col("copies") * F.col("size")).cast("long").alias("taken"), "h", "skey")
 
 
 def mix_report(docs: DataFrame) -> DataFrame:
-    """The mix without the hash that tells rows apart."""
-    return mix(docs).drop("h")
+    """The mix without the columns that tell rows apart."""
+    return mix(docs).drop("h", "skey")
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it.
 
-    Words decide, so documents without any are in no mix; all columns pass through.
+    Words decide, so documents without any are in no mix; all columns pass through. Rows with a
+    null doc_id are taken like others. Rows that repeat doc_id, text and source share the copies
+    which the mix gave to all of them; they differ by one copy at most.
     """
-    taken = mix(docs).where("copies > 0").select(F.col("doc_id").alias("mix_id"), F.col("h").alias("mix_h"), "copies").groupBy("mix_id", "mix_h").agg(F.max("copies").alias("mix_copies"))
-    keyed = docs.withColumn("mix_h_own", F.xxhash64("doc_id", "text"))
-    joined = keyed.join(taken, (keyed["doc_id"] == taken["mix_id"]) & (keyed["mix_h_own"] == taken["mix_h"]))
-    repeated = joined.withColumn("mix_copy", F.explode(F.sequence(F.lit(1).cast("long"), taken["mix_copies"])))
-    return repeated.select(*(keyed[c] for c in docs.columns))
+    dealt = mix(docs).groupBy(F.struct("doc_id", "skey", "h").alias("mix_key")).agg(F.sum("copies").alias("mix_total"), F.count("*").alias("mix_rows")).where("mix_total > 0")
+    # A struct is equal to another where their fields are, nulls included.
+    keyed = docs.withColumn("mix_own", F.struct("doc_id", _skey().alias("skey"), F.xxhash64("doc_id", "text").alias("h")))
+    plain = [f.name for f in docs.schema.fields if isinstance(f.dataType, T.AtomicType)]
+    keyed = keyed.withColumn("mix_number", F.row_number().over(W.partitionBy("mix_own").orderBy(F.xxhash64(*plain))))
+    joined = keyed.join(dealt, keyed["mix_own"] == dealt["mix_key"])
+    copies = F.floor(F.col("mix_total") / F.col("mix_rows")) + (F.col("mix_number") <= F.col("mix_total") % F.col("mix_rows")).cast("long")
+    given = joined.withColumn("mix_copies", copies).where("mix_copies > 0")
+    return given.withColumn("mix_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("mix_copies")))).select(*docs.columns)

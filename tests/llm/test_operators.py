@@ -467,6 +467,22 @@ def test_mix(spark):
     assert mixing.mix(df.where("false")).count() == 0
 
 
+def test_mixed_documents_take_null_ids_and_repeats_as_the_mix(spark):
+    rng = random.Random(21)
+    rows = [(i, prose(rng.randrange(1, 40), rng), rng.choice("abc")) for i in range(60)]
+    rows += [(None, "no id here", "b"), (None, "nor here", None), (None, "no id here", "b")]
+    rows += [(7, "one two three", s) for s in "aaaaabbbc"]
+    df = table(spark, rows)
+    want, got = {}, {}
+    for r in mixing.mix(df).collect():
+        key = (r["doc_id"], r["skey"], r["size"])
+        want[key] = want.get(key, 0) + r["copies"]
+    for r in mixing.mixed_documents(df).collect():
+        key = (r["doc_id"], "n" if r["source"] is None else f"s{r['source']}", len(r["text"].split()))
+        got[key] = got.get(key, 0) + 1
+    assert got == {k: c for k, c in want.items() if c} and any(k[0] is None for k in got)
+
+
 def test_mix_rates_solve_the_dual(spark):
     groups = spark.createDataFrame([("sa", 10, 50), ("sa", 100, 20), ("sa", 5000, 1), ("sb", 7, 30)], "skey string, size long, n long")
     targets = spark.createDataFrame([("sa", "a", 7500, 5000.0), ("sb", "b", 210, 420.0)], "skey string, source string, source_size long, target double")
