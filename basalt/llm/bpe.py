@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Distinct words that a Python worker remembers, and characters taken at once.
 CACHE, CHUNK = 300_000, 3_000_000
+#: Bytes of a word from which it is contracted over tables that hold only the live state, and
+#: rows that all rounds of the recursion may leave for the shorter ones, at most.
+LONG, ROUND_ROWS = 256, 4_000_000
 
 #: One contraction a word and round: its leftmost pair of the least rank, until none is left.
 _ENCODE = """
@@ -38,6 +41,37 @@ WITH RECURSIVE state AS (
 )
 SELECT w, pos, id FROM state QUALIFY round = max(round) OVER (PARTITION BY w)
 """
+#: One round over table ``live``: of each word all pairs of its least rank, from the left and
+#: not overlapping, up to the first whose new neighbours would pair at a lesser rank. Words
+#: without a pair go to table ``settled``.
+_ROUND = """
+CREATE OR REPLACE TEMP TABLE pairs AS
+    SELECT s.*, m.merged, min(m.merged) OVER (PARTITION BY s.w) AS least
+    FROM (
+        SELECT w, pos, id, row_number() OVER row AS place, lag(id) OVER row AS prior_id, lead(id) OVER row AS next_id, lead(id, 2) OVER row AS next_but_one
+        FROM live WINDOW row AS (PARTITION BY w ORDER BY pos)
+    ) s
+    LEFT JOIN merges m ON m.first_id = s.id AND m.second_id = s.next_id;
+INSERT INTO settled SELECT w, pos, id FROM pairs WHERE least IS NULL;
+CREATE OR REPLACE TEMP TABLE taken AS
+    WITH hit AS (
+        SELECT w, place, prior_id, next_but_one, merged, place - row_number() OVER (PARTITION BY w ORDER BY place) AS run FROM pairs WHERE merged = least
+    ), apart AS (
+        SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY w, run ORDER BY place) AS nth FROM hit) WHERE nth % 2 = 1
+    ), beside AS (
+        SELECT *, CASE WHEN lag(place) OVER (PARTITION BY w ORDER BY place) = place - 2 THEN merged ELSE prior_id END AS left_id FROM apart
+    ), judged AS (
+        SELECT b.w, b.place, b.merged, min(b.place) FILTER (l.merged < b.merged OR r.merged < b.merged) OVER (PARTITION BY b.w) AS until
+        FROM beside b
+        LEFT JOIN merges l ON l.first_id = b.left_id AND l.second_id = b.merged
+        LEFT JOIN merges r ON r.first_id = b.merged AND r.second_id = b.next_but_one
+    )
+    SELECT w, place, merged FROM judged WHERE until IS NULL OR place <= until;
+CREATE OR REPLACE TEMP TABLE live AS
+    SELECT p.w, p.pos, coalesce(t.merged, p.id) AS id
+    FROM pairs p LEFT JOIN taken t ON t.w = p.w AND t.place = p.place LEFT JOIN taken g ON g.w = p.w AND g.place + 1 = p.place
+    WHERE p.least IS NOT NULL AND g.place IS NULL;
+"""
 _DECODE = "SELECT w, string_agg(hex(v.bytes), '' ORDER BY t.pos) AS text FROM tokens t JOIN vocabulary v USING (id) GROUP BY w ORDER BY w"
 
 
@@ -76,13 +110,28 @@ class ByteBPE:
         starts = np.cumsum(sizes) - sizes
         w = np.repeat(np.arange(len(words), dtype=np.int32), sizes)
         pos = (np.arange(len(raw), dtype=np.int64) - starts[w]).astype(np.int32)
-        self.db.register("start", pa.table({"w": w, "pos": pos, "id": self.byte_ids[raw]}))
-        out = self.db.execute(_ENCODE).fetchnumpy()
-        self.db.unregister("start")
-        w, pos, ids = (np.asarray(out[c]) for c in ("w", "pos", "id"))
+        ids = self.byte_ids[raw]
+        # Batches of short words whose rounds leave a bounded number of rows, then the long words.
+        short = np.where(sizes < LONG, sizes * (sizes + 1) // 2, 0)
+        batch = np.where(sizes < LONG, (np.cumsum(short) - short) // ROUND_ROWS, -1)[w]
+        found = [(np.zeros(0, np.int32),) * 3]
+        for number in np.unique(batch):
+            mine = batch == number
+            self.db.register("start", pa.table({"w": w[mine], "pos": pos[mine], "id": ids[mine]}))
+            out = self.db.execute(_ENCODE).fetchnumpy() if number >= 0 else self.contract()
+            self.db.unregister("start")
+            found.append(tuple(np.asarray(out[c]) for c in ("w", "pos", "id")))
+        w, pos, ids = map(np.concatenate, zip(*found))
         order = np.lexsort((pos, w))
         return w[order], pos[order], ids[order]
 
+    def contract(self) -> dict[str, np.ndarray]:
+        """The tokens of the words in ``start``, round by round over tables."""
+        self.db.execute("CREATE OR REPLACE TEMP TABLE live AS SELECT * FROM start; CREATE OR REPLACE TEMP TABLE settled AS SELECT * FROM live WHERE false")
+        while self.db.execute("SELECT count(*) FROM live").fetchone()[0]:
+            self.db.execute(_ROUND)
+        return self.db.execute("SELECT w, pos, id FROM settled").fetchnumpy()
+
     def learn(self, words: list[str]) -> None:
         """Encode and decode the words that are not remembered yet."""
         for i in range(0, len(words), 50_000):
@@ -141,7 +190,8 @@ def encode_decode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     ``ids`` holds the token ids of the whole text as little-endian 32-bit integers, ``decoded``
     the bytes those ids stand for. Each match of ``pattern`` is a word; rows (word, position,
     token) join the merge table and a recursive query contracts each word's leftmost pair of
-    least rank until nothing changes; an ordered aggregation over the token rows decodes. Words
+    least rank until nothing changes (words of ``LONG`` bytes and more keep only their live rows
+    between rounds); an ordered aggregation over the token rows decodes. Words
     are remembered within bounds, and long texts go through in pieces. A null or empty text has
     no tokens; repeated rows and null doc_ids keep a row each; further columns play no part; an
     empty table gives an empty result.

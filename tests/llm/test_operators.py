@@ -285,6 +285,19 @@ def test_long_texts_and_forgetful_caches_change_nothing(monkeypatch):
     assert len(parts) > 5 and b"".join(x[0] for part in parts for x in coder.coded([part])) == whole
 
 
+def test_byte_bpe_of_matches_without_end():
+    path = tokenizers.path("byte_bpe_50k.tiktoken")
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
+    library = tiktoken.Encoding("own", pat_str=tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    coder = bpe.ByteBPE(path, tokenizers.PATTERN)
+    rng = random.Random(31)
+    mixed = "".join(rng.choice("etaoinshrdlucmfw") for _ in range(1500))
+    texts = [mixed, "".join(rng.choice("ACGT") for _ in range(100_000)), " " * 20_001, "-" * 300 + "a" * 1001, "日本語" * 3000, *(mixed[i : i + 300] for i in range(0, 1500, 300))]
+    for text in texts:
+        code, back = b"".join(x[0] for part in coder.pieces(text) for x in coder.coded([part])), b"".join(x[1] for part in coder.pieces(text) for x in coder.coded([part]))
+        assert np.frombuffer(code, "<u4").tolist() == library.encode_ordinary(text) and back == text.encode()
+
+
 def test_token_counts_are_the_librarys(spark):
     path = tokenizers.path("piece_bpe_32k.model")
     library = sentencepiece.SentencePieceProcessor(model_file=path)
