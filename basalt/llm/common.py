@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,22 +17,40 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir`` where the
-    session names one, else (tests on one machine) a temporary folder."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``, or else a folder
+    in the warehouse, which a cluster shares too."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = tempfile.mkdtemp(prefix="basalt-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch").rstrip("/")
 
 
-def cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame, by: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: the lineage ends there, a lost
-    executor costs nothing that was finished, and later plans know the table's size."""
+    executor costs nothing that was finished, and later plans know the table's size.
+
+    With ``by`` the table is bucketed on that column, so that joins and aggregations on it
+    need no further shuffle of this side."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/cut-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    name = f"cut_{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}"
+    if by is None:
+        df.write.parquet(path)
+        back = spark.read.schema(df.schema).parquet(path)
+    else:
+        df.write.format("parquet").bucketBy(parallelism(df), by).option("path", path).saveAsTable(name)
+        back = spark.table(name)
+    back.cut_at = (path, None if by is None else name)
+    return back
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables written by ``cut`` that nothing reads any more."""
+    for df in tables:
+        path, name = df.cut_at
+        spark = df.sparkSession
+        if name:
+            spark.sql(f"DROP TABLE {name}")
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def parallelism(df: DataFrame) -> int:

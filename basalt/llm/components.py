@@ -5,46 +5,46 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basalt.llm.common import cut
+from basalt.llm.common import cut, discard
+
+
+def _image(edges: DataFrame, moves: DataFrame) -> DataFrame:
+    """The edges between the places to which ``moves`` (node, root) takes their ends."""
+    to_root = moves.select(F.col("node").alias("old"), F.col("root").alias("new"))
+    ends = edges.join(to_root, edges["a"] == to_root["old"], "left").select(F.coalesce("new", "a").alias("a"), "b")
+    ends = ends.join(to_root, ends["b"] == to_root["old"], "left").select("a", F.coalesce("new", "b").alias("b"))
+    return ends.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Rows (node, root) for every node of ``edges``; ``root`` is the smallest node reachable.
 
     Distributed union-find: every node hooks to its smallest smaller neighbour, pointers are
-    doubled until all are roots, the edges are contracted to roots, and this repeats until no
-    edge joins two roots. Each round at least halves the trees of a component, and minima are
-    pre-aggregated, so a node with very many edges costs no more than others. Edges with a null
-    end and loops are ignored; an empty table gives an empty result.
+    doubled, and the edges are replaced by those between the nodes' new places, until no edge is
+    left; at the end the rounds' moves are chained. The image of a connected graph is connected,
+    so nothing falls apart on the way. Minima are pre-aggregated, so a node with very many edges
+    costs no more than others. Edges with a null end and loops are ignored; an empty table gives
+    an empty result.
     """
     left, right = F.least(a, b), F.greatest(a, b)
-    live = cut(
-        edges.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
-        .select(left.alias("a"), right.alias("b"))
-        .distinct()
-    )
-    labels: DataFrame | None = None
+    wanted = edges.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
+    live = cut(wanted.select(left.alias("a"), right.alias("b")).distinct())
+    rounds: list[DataFrame] = []
     while not live.isEmpty():
         hooks = cut(live.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("root")))
-        while True:
-            up = hooks.select(F.col("node").alias("root"), F.col("root").alias("higher"))
-            jumped = cut(
-                hooks.join(up, "root", "left").select("node", F.coalesce("higher", "root").alias("root"), F.col("higher").isNotNull().alias("moved"))
-            )
-            hooks = jumped.select("node", "root")
-            if jumped.where("moved").isEmpty():
-                break
-        to_root = hooks.select(F.col("node").alias("old"), F.col("root").alias("new"))
-        if labels is None:
-            grown = hooks
-        else:
-            moved = labels.join(to_root, labels["root"] == to_root["old"], "left")
-            grown = moved.select("node", F.coalesce("new", "root").alias("root")).unionByName(hooks)
-        # Roots of this round are in no hook table; they get their own row at the end.
-        labels = cut(grown.groupBy("node").agg(F.min("root").alias("root")))
-        ends = live.join(to_root, live["a"] == to_root["old"], "left").select(F.coalesce("new", "a").alias("a"), "b")
-        ends = ends.join(to_root, ends["b"] == to_root["old"], "left").select("a", F.coalesce("new", "b").alias("b"))
-        live = cut(ends.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    if labels is None:
+        up = hooks.select(F.col("node").alias("root"), F.col("root").alias("higher"))
+        moves = cut(hooks.join(up, "root", "left").select("node", F.coalesce("higher", "root").alias("root")))
+        left_over = cut(_image(live, moves))
+        discard(live, hooks)
+        live = left_over
+        rounds.append(moves)
+    if not rounds:
         return live.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    labels = rounds.pop()
+    while rounds:
+        earlier, later = rounds.pop(), labels.select(F.col("node").alias("root"), F.col("root").alias("last"))
+        chained = cut(earlier.join(later, "root", "left").select("node", F.coalesce("last", "root").alias("root")).unionByName(labels).distinct())
+        discard(earlier, labels)
+        labels = chained
+    # Roots moved nowhere; they get their own row.
     return labels.unionByName(labels.select(F.col("root").alias("node"), "root").distinct())
