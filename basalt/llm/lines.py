@@ -1,34 +1,45 @@
-"""Fuzzy line deduplication by MinHash, with DataFrame and SQL functions only."""
+"""Fuzzy line deduplication by MinHash.
+
+The lines are told apart, joined, counted and grouped by DataFrame operations; numpy in Arrow
+batches hashes shingles and compares sets. A form with SQL functions alone took 1,094 CPU seconds
+for each GB where this one is held to 400 (README)."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from basalt.llm.common import cut, discard
+from basalt.llm.common import cut, discard, parallelism
 from basalt.llm.components import connected_components
 
 #: Jaccard similarity of character shingles from which two lines are one.
 THRESHOLD = 0.8
 #: Characters in a shingle.
 SHINGLE = 5
-#: Hash functions over a line's shingles, and the orders in which each gives its least and its
-#: greatest hash: points spread over the range of hashes. Five such values are a band, three
-#: bands a function.
-FUNCTIONS = tuple((0x9E3779B97F4A7C15 * (i + 1)) % 2**64 - 2**63 for i in range(4))
-ORDERS = tuple(i * (2**63 // 8) for i in range(8))
-ROWS = 5
-#: Shingles of a line up to which all are hashed, and the factor between the sizes at which a
-#: longer line keeps one shingle in so many.
-SHORT, STEP = 128, 4
-#: Values, of thirty, that two signatures of lines so alike have in common, but for once in 200
-#: times.
-AGREEING = 20
+#: Bands of a signature, and the least hashes that make up a band.
+BANDS, ROWS = 16, 5
+#: Different shingles that tiny and short lines have at most, and their least hashes in a band.
+#: Both have a hash function for each band; longer lines take bands from places of one order.
+TINY, TINY_BANDS, TINY_ROWS, SHORT, SHORT_ROWS = 12, 8, 2, 64, 4
+#: Values kept of a signature, by two bits each, and those of them that lines so alike have in
+#: common but for once in 500 times.
+KEPT, AGREEING = 30, 19
+#: Bits of a shingle's hash, and characters hashed at once.
+BITS, CHUNK = 40, 2_000_000
 #: Lines of a bucket that are compared all with all, and lines from which a bucket counts as hot.
 SMALL, HOT = 8, 10_000
 #: Lines in a block of a bucket that is closed in full.
-BLOCK = 256
+BLOCK = 512
+
+_ODD = np.random.default_rng(5).integers(0, 2**64, 64, dtype=np.uint64) | np.uint64(1)
+_LOW = np.uint64(2**BITS - 1)
 
 
 def split_lines(docs: DataFrame) -> DataFrame:
@@ -37,43 +48,149 @@ def split_lines(docs: DataFrame) -> DataFrame:
     return parted.where(F.col("line").rlike(r"\S")).withColumn("k", F.xxhash64("line"))
 
 
-def _form(n: Column) -> Column:
-    """0 for short lines, then one more for each ``STEP`` times the size."""
-    return F.greatest(F.lit(0), F.ceil(F.log2(n / SHORT) / F.log2(F.lit(float(STEP))))).cast("int")
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(32))) * _ODD[17]
+    return (x ^ (x >> np.uint64(29))) * _ODD[23]
+
+
+def _distinct(x: np.ndarray) -> np.ndarray:
+    """The different values in order; sorting is far faster here than ``np.unique``."""
+    x = np.sort(x)
+    return x[np.concatenate([[True], x[1:] != x[:-1]])]
+
+
+def shingle_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(owner, hash): the 64-bit hashes of all lines' shingles, repeats included, line by line.
+    A line shorter than a shingle is its own only one."""
+    pad = "\0" * (SHINGLE - 1)
+    codes = np.frombuffer((pad.join(lines) + pad).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    sizes = np.fromiter(map(len, lines), np.int64, len(lines))
+    counts = np.maximum(1, sizes - (SHINGLE - 1))
+    begins = np.cumsum(sizes + SHINGLE - 1) - (sizes + SHINGLE - 1)
+    owner = np.repeat(np.arange(len(lines)), counts)
+    at = np.arange(len(owner)) + np.repeat(begins - (np.cumsum(counts) - counts), counts)
+    rolled = np.zeros(max(0, len(codes) - SHINGLE + 1), np.uint64)
+    for i in range(SHINGLE):
+        rolled += (codes[i : len(rolled) + i] + np.uint64(1)) * _ODD[i]
+    return owner, _mix(rolled[at])
+
+
+def _shorter(lines: list[str]) -> Iterator[list[str]]:
+    """Runs of lines of a bounded number of characters, one line at least."""
+    held, size = [], 0
+    for line in lines:
+        if held and size + len(line) > CHUNK:
+            yield held
+            held, size = [], 0
+        held.append(line)
+        size += len(line)
+    if held:
+        yield held
+
+
+def _successors(keys: np.ndarray, start: np.ndarray, size: np.ndarray, lines: np.ndarray, point: int, rows: int) -> np.ndarray:
+    """For each of ``lines`` the ``rows`` hashes of its ordered ones that follow ``point``, from
+    the least again after the greatest."""
+    first = np.searchsorted(keys, (lines.astype(np.uint64) << np.uint64(BITS)) | np.uint64(point)) - start[lines]
+    at = (first[:, None] + np.arange(rows)) % size[lines][:, None] + start[lines][:, None]
+    return keys[at] & _LOW
+
+
+def _band(values: np.ndarray, number: int) -> np.ndarray:
+    """The key of a band from its values, one row a line."""
+    key = np.full(len(values), number, np.uint64) * _ODD[40]
+    for column in values.T:
+        key = _mix(key ^ column) + column
+    return key
+
+
+def _bits(values: np.ndarray) -> np.ndarray:
+    """Two bits of each of ``KEPT`` values, one row a line, as a long."""
+    shift = np.arange(KEPT, dtype=np.uint64) * np.uint64(2)
+    return np.bitwise_or.reduce(((values >> np.uint64(7)) & np.uint64(3)) << shift, axis=1)
 
 
-def signatures(lines: DataFrame, seed: int = 0) -> DataFrame:
-    """Rows (k, form, bands, sketch): MinHash signatures of the lines (k, line).
+def signatures_of(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(band keys by row of a line, their lines, sketches of short lines, of long lines).
 
-    All 5-character shingles of a line are hashed; of a long line one in 4, 16, ... goes on,
-    chosen by the hash. A band's key is made of the least and greatest of them under one of
-    four hash functions and several orders; ``sketch`` holds two bits of thirty values.
-    Signatures of one form can be compared; a line near the lower end of its form has that below
-    too, so that lines of like size always share a form. ``lines`` come bucketed by k, so that
-    shingles are exploded and folded within the task that reads the line.
+    A sketch is 0 where the line is not of that kind. Lines up to a quarter above the size that
+    parts two kinds are of both, so any two alike lines share a kind.
     """
-    coded = lines.select("k", F.encode("line", "UTF-16BE").alias("code"))
-    sized = coded.withColumn("n", F.greatest(F.lit(1), F.expr(f"length(code) div 2 - {SHINGLE - 1}").cast("int")))
-    formed = sized.select("k", "code", "n", F.explode(F.sequence(_form(F.col("n") * THRESHOLD), _form(F.col("n")))).alias("form"))
-    seeded = [(c + seed * 0x632BE59BD9B4E019 + 2**63) % 2**64 - 2**63 for c in FUNCTIONS]
-    mask = F.expr(f"shiftleft(1L, {STEP // 2} * form) - 1")
-    placed = formed.select("k", "form", mask.alias("mask"), "code", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("at"))
-    hashed = placed.select("k", "form", "mask", F.xxhash64(F.expr(f"substring(code, 2 * at + 1, {2 * SHINGLE})")).alias("h")).where("(h & mask) = 0")
-    mixed = hashed.select("k", "form", *(F.xxhash64(F.col("h").bitwiseXOR(F.lit(c))).alias(f"h{i}") for i, c in enumerate(seeded)))
-    ends = [(pick, c) for c in ORDERS for pick in (F.min, F.max)][: 3 * ROWS]
-    values = {f"v{i}_{m}": pick(F.col(f"h{i}").bitwiseXOR(F.lit(c))) for i in range(len(seeded)) for m, (pick, c) in enumerate(ends)}
-    folded = mixed.groupBy("k", "form").agg(*(x.alias(n) for n, x in values.items()))
-    names = list(values)
-    # The values of a band lie three apart, so they are spread over the orders.
-    bands = [names[len(ends) * i + j : len(ends) * (i + 1) : 3] for i in range(len(seeded)) for j in range(3)]
-    keys = (F.xxhash64(F.col("form").bitwiseXOR(F.lit(1000 * i)), *band) for i, band in enumerate(bands))
-    bits = F.expr(" | ".join(f"shiftleft(shiftrightunsigned({n}, 20) & 3L, {2 * i})" for i, n in enumerate(names[::2])))
-    return folded.select("k", "form", F.array(*keys).alias("bands"), bits.alias("sketch"))
+    owner, hashes = shingle_hashes(lines)
+    keys = _distinct((owner.astype(np.uint64) << np.uint64(BITS)) | (hashes >> np.uint64(64 - BITS)))
+    size = np.bincount((keys >> np.uint64(BITS)).astype(np.int64), minlength=len(lines))
+    start = np.cumsum(size) - size
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    sketches = np.zeros((2, len(lines)), np.uint64)
+    over = 1 / THRESHOLD
+
+    def only(chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The hashes of the chosen lines, and where each line's begin."""
+        mine = np.zeros(len(lines), bool)
+        mine[chosen] = True
+        low = np.zeros(len(lines), np.int64)
+        low[chosen] = np.cumsum(size[chosen]) - size[chosen]
+        return keys[np.repeat(mine, size)], low
+
+    def turned(some: np.ndarray, number: int) -> np.ndarray:
+        """Hashes of lines in order under a further hash function."""
+        return np.sort((some & ~_LOW) | (_mix((some & _LOW) * _ODD[number + 30]) >> np.uint64(64 - BITS)))
+
+    tiny = np.flatnonzero(size <= TINY * over)
+    if len(tiny):
+        some, low = only(tiny)
+        for number in range(TINY_BANDS):
+            found.append((_band(_successors(turned(some, number), low, size, tiny, 0, TINY_ROWS), 100 + number), tiny))
+    short = np.flatnonzero((size > TINY) & (size <= SHORT * over))
+    if len(short):
+        kept = []
+        some, low = only(short)
+        for number in range(BANDS):
+            order = turned(some, number)
+            values = _successors(order, low, size, short, 0, SHORT_ROWS)
+            found.append((_band(values, 200 + number), short))
+            kept += [values[:, 0], *(_successors(order, low, size, short, x, 1)[:, 0] for x in (2**BITS // 3, 2 * 2**BITS // 3))]
+        sketches[0, short] = _bits(np.stack(kept[:KEPT], 1))
+    long = np.flatnonzero(size > SHORT)
+    if len(long):
+        for number in range(BANDS):
+            found.append((_band(_successors(keys, start, size, long, number * 2**BITS // BANDS, ROWS), 300 + number), long))
+        points = [(2 * i + 1) * 2**BITS // (2 * KEPT) for i in range(KEPT)]
+        sketches[1, long] = _bits(np.concatenate([_successors(keys, start, size, long, x, 1) for x in points], 1))
+    rows = np.concatenate([x for _, x in found])
+    return np.concatenate([x for x, _ in found]), rows, sketches[0], sketches[1]
+
+
+def signatures(lines: DataFrame) -> DataFrame:
+    """Rows (k, short, long, bands): MinHash signatures of the lines (k, line).
+
+    The 5-character shingles of a line are hashed and ordered. Lines of up to 64 different ones
+    take the least hashes under a function of its own for each band; longer lines take each
+    band from the hashes that follow another point of one order. ``short`` and ``long`` hold
+    two bits of thirty such values, 0 where the line is not of that kind.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            done = 0
+            for part in _shorter(batch.column(1).to_pylist()):
+                bands, owner, short, long = signatures_of(part)
+                order = np.argsort(owner, kind="stable")
+                ends = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(part)))]).astype(np.int32)
+                listed = pa.ListArray.from_arrays(pa.array(ends), pa.array(bands[order].view(np.int64)))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(done, len(part)), pa.array(short.view(np.int64)), pa.array(long.view(np.int64)), listed], names=["k", "short", "long", "bands"]
+                )
+                done += len(part)
+
+    return lines.select("k", "line").mapInArrow(run, "k long, short long, long long, bands array<long>")
 
 
 def agreeing(one: str, two: str) -> Column:
-    """How many values two signatures seem to have in common, by two bits kept of thirty."""
-    return F.expr(f"30 - bit_count(({one} ^ {two} | shiftrightunsigned({one} ^ {two}, 1)) & {0x555555555555555}L)")
+    """Whether two signatures may be of alike lines: tiny lines have none and may always be."""
+    same = lambda x: F.expr(f"{KEPT} - bit_count(({one}.{x} ^ {two}.{x} | shiftrightunsigned({one}.{x} ^ {two}.{x}, 1)) & {0x5555555555555555 >> (64 - 2 * KEPT)}L)")
+    both = lambda x: F.expr(f"{one}.{x} <> 0 and {two}.{x} <> 0")
+    return F.when(both("long"), same("long") >= AGREEING).when(both("short"), same("short") >= AGREEING).otherwise(F.lit(True))
 
 
 def placed_in_buckets(rows: DataFrame) -> DataFrame:
@@ -93,89 +210,170 @@ def placed_in_buckets(rows: DataFrame) -> DataFrame:
     return found
 
 
-def shingle_sets(line: Column) -> Column:
-    """The line's character shingles, repeats included; a shorter line is its own only one."""
-    return F.when(F.length(line) <= SHINGLE, F.array(line)).otherwise(F.regexp_extract_all(line, F.lit(f"(?s)(?=({'.' * SHINGLE}))."), F.lit(1)))
+def jaccard(one: list[str], two: list[str]) -> np.ndarray:
+    """The similarity of the shingle sets of each two lines. At most 4,096 pairs."""
+    place = np.uint64(52)
+
+    def sets(lines: list[str]) -> np.ndarray:
+        parts = []
+        done = 0
+        for part in _shorter(lines):
+            owner, hashes = shingle_hashes(part)
+            parts.append(((owner + done).astype(np.uint64) << place) | (hashes >> np.uint64(12)))
+            done += len(part)
+        return _distinct(np.concatenate(parts))
+
+    a, b = sets(one), sets(two)
+    both = np.sort(np.concatenate([a, b]))
+    count = lambda x: np.bincount((x >> place).astype(np.int64), minlength=len(one))
+    shared = count(both[1:][both[1:] == both[:-1]])
+    return shared / (count(a) + count(b) - shared)
 
 
 def similar(pairs: DataFrame, lines: DataFrame, threshold: float) -> DataFrame:
     """The rows (a, b) of ``pairs`` whose lines (k, line) have the exact similarity."""
     side = lambda x: lines.select(F.col("k").alias(x), F.col("line").alias(f"line_{x}"))
     texts = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
-    sets = texts.select("a", "b", shingle_sets(F.col("line_a")).alias("x"), shingle_sets(F.col("line_b")).alias("y"))
-    # Written before it is filtered: a filter would be pushed down and build the sets again.
-    sized = cut(sets.select("a", "b", F.size(F.array_intersect("x", "y")).alias("both"), F.size(F.array_union("x", "y")).alias("either")))
-    return sized.where(F.col("both") >= threshold * F.col("either")).select("a", "b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, 1024):
+                part = batch.slice(i, 1024)
+                near = jaccard(part.column(2).to_pylist(), part.column(3).to_pylist()) >= threshold
+                yield part.select(["a", "b"]).filter(pa.array(near))
+
+    return texts.select("a", "b", "line_a", "line_b").mapInArrow(run, "a long, b long")
+
+
+def _candidates(asking: list[tuple], others: list[tuple]) -> np.ndarray:
+    """How many kept values the sketches of each two lines do not share; 255 within a component."""
+    mask = np.uint64(0x5555555555555555 >> (64 - 2 * KEPT))
+    column = lambda some, i: np.array([x[i] for x in some], np.int64)
+    unlike = np.zeros((len(asking), len(others)), np.uint8)
+    for i in (3, 4):
+        x, y = column(asking, i).view(np.uint64)[:, None], column(others, i).view(np.uint64)[None]
+        apart = x ^ y
+        unlike = np.maximum(unlike, np.where((x == 0) | (y == 0), 0, np.bitwise_count((apart | apart >> np.uint64(1)) & mask)))
+    unlike[column(asking, 2)[:, None] == column(others, 2)[None]] = 255
+    return unlike
+
+
+def _likeliest(asking: list[tuple], others: list[tuple], band: int, threshold: float) -> list[tuple[int, int]]:
+    """Each asking line with the one that its sketch is nearest to."""
+    unlike = _candidates(asking, others)
+    first = unlike.argmin(1)
+    return [(asking[i][1], others[j][1]) for i, j in enumerate(first.tolist()) if unlike[i, j] <= KEPT - AGREEING]
+
+
+def _alike(asking: list[tuple], others: list[tuple], band: int, threshold: float) -> list[tuple[int, int]]:
+    """Links between all lines whose sketches allow it, enough of them to join their components.
+    A pair is compared in the first bucket that both lines share."""
+    i, j = np.nonzero(_candidates(asking, others) <= KEPT - AGREEING)
+    width = max(len(x[5]) for x in (*asking, *others))
+    one, two = (np.array([x[5] + [0] * (width - len(x[5])) for x in some], np.int64) for some in (asking, others))
+    sets: dict[int, np.ndarray] = {}
+    parent: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    links = []
+    for start in range(0, len(i), 4096):
+        x, y = i[start : start + 4096], j[start : start + 4096]
+        shared = (one[x][:, :, None] == two[y][:, None, :]).any(2) & (one[x] != 0)
+        mine = one[x, shared.argmax(1)] == band
+        for a, b in zip(x[mine].tolist(), y[mine].tolist()):
+            a, b = asking[a], others[b]
+            if top(a[2]) == top(b[2]):
+                continue
+            for row in (a, b):
+                if row[1] not in sets:
+                    sets[row[1]] = _distinct(shingle_hashes([row[6]])[1])
+            p, q = sets[a[1]], sets[b[1]]
+            if min(len(p), len(q)) < threshold * max(len(p), len(q)):
+                continue
+            both = np.sort(np.concatenate([p, q]))
+            n = int((both[1:] == both[:-1]).sum())
+            if n >= threshold * (len(p) + len(q) - n):
+                links.append((a[1], b[1]))
+                parent[top(a[2])] = top(b[2])
+    return links
+
+
+def met_in_blocks(rows: DataFrame, meet, threshold: float) -> DataFrame:
+    """Rows (a, b): what ``meet`` finds between the lines of a block that ask and the others.
+
+    ``rows`` holds (band, block, asks, k, root, short, long, bands, line)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = (None, None), []
+        pairs: list[tuple[int, int]] = []
+
+        def close() -> None:
+            asking, others = [x for x in held if x[0]], [x for x in held if not x[0]]
+            if asking and others:
+                pairs.extend(meet(asking, others, at[0], threshold))
+
+        def out() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([f(x) for x in pairs], pa.int64()) for f in (min, max)], names=["a", "b"])
+
+        for batch in batches:
+            for band, block, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                if (band, block) != at:
+                    close()
+                    at, held = (band, block), []
+                held.append(tuple(row))
+            if len(pairs) > 10_000:
+                yield out()
+                pairs.clear()
+        close()
+        yield out()
+
+    group = ["band", "block"]
+    placed = rows.select(*group, "asks", "k", "root", "short", "long", "bands", "line").repartition(parallelism(rows), *group).sortWithinPartitions(*group)
+    return placed.mapInArrow(run, "a long, b long").distinct()
 
 
 def line_links(lines: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Rows (node, root): the components of alike lines among different lines (k, line).
 
-    Lines of a bucket are compared with its least key, those of a small bucket all with all.
-    Large buckets that this leaves in several components are dealt anew, by the bands of further
-    hash functions, and treated alike; what is then still apart in a bucket is closed in full:
-    every line outside its largest component meets all others, block by block. Pairs whose
-    signatures have too few values in common are not compared.
+    Lines of a bucket are compared with its least key, those of a small bucket all with all;
+    pairs whose signatures have too few values in common are not. Large buckets that this leaves
+    in several components are closed: every line outside a bucket's largest component meets
+    the one that its signature is nearest to, and if it is still outside, all others, block by
+    block.
     """
     signed = cut(signatures(lines), "k")
     members = placed_in_buckets(signed.select("k", F.explode("bands").alias("band")))
-    sketches = signed.select("k", "form", "sketch")
-    links, tried, roots = None, None, None
-
-    def judge(pairs: DataFrame) -> None:
-        """Compares the new pairs (a, b) and joins the components of the alike."""
-        nonlocal links, tried, roots
-        wanted = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        wanted = wanted if tried is None else wanted.join(tried, ["a", "b"], "left_anti")
-        left = sketches.select(F.col("k").alias("a"), "form", F.col("sketch").alias("one"))
-        right = sketches.select(F.col("k").alias("b"), "form", F.col("sketch").alias("two"))
-        near = wanted.join(left, "a").join(right, ["b", "form"]).where(agreeing("one", "two") >= AGREEING)
-        pairs = cut(near.select("a", "b").distinct())
-        found = similar(pairs, lines, threshold)
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        links = found if links is None else links.unionByName(found)
-        roots = connected_components(links)
-
-    def apart(rows: DataFrame) -> DataFrame:
-        """The rows of buckets in several components, with their roots."""
-        named = rows.join(roots, rows["k"] == roots["node"], "left").select("k", "band", "n", "lo", F.coalesce("root", "k").alias("root"))
-        split = named.groupBy("band").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most").select("band")
-        return cut(named.join(split, "band"))
-
-    def within(rows: DataFrame) -> DataFrame:
-        small = rows.where(f"n between 3 and {SMALL} and k <> lo").select("band", "k")
-        both = small.join(small.withColumnRenamed("k", "other"), "band").where("k < other")
-        star = rows.where("k <> lo").select(F.col("lo").alias("a"), F.col("k").alias("b"))
-        return star.unionByName(both.select(F.col("k").alias("a"), F.col("other").alias("b")))
-
-    judge(within(members))
-    large = apart(members.where(f"n > {SMALL}"))
+    sketches = signed.select("k", F.struct("short", "long").alias("sketch"))
+    small = members.where(f"n between 3 and {SMALL} and k <> lo").select("band", "k")
+    both = small.join(small.withColumnRenamed("k", "other"), "band").where("k < other").select(F.col("k").alias("a"), F.col("other").alias("b"))
+    star = members.where("k <> lo").select(F.col("lo").alias("a"), F.col("k").alias("b"))
+    pairs = star.unionByName(both).distinct()
+    left, right = (sketches.select(F.col("k").alias(x), F.col("sketch").alias(f"of_{x}")) for x in "ab")
+    near = pairs.join(left, "a").join(right, "b").where(agreeing("of_a", "of_b"))
+    links = cut(similar(near, lines, threshold))
+    roots = connected_components(links)
+
+    large = cut(members.where(f"n > {SMALL}").select("k", "band", "n"))
     discard(members)
-    if not large.isEmpty():
-        again = cut(lines.join(large.select("k").distinct(), "k", "left_semi"), "k")
-        finer = signatures(again, seed=1).select("k", F.explode("bands").alias("finer"))
-        rows = large.select("k", "band").join(finer, "k").select("k", F.xxhash64("band", "finer").alias("band"))
-        inner = placed_in_buckets(rows)
-        judge(within(inner))
-        open_rows = apart(inner.where(f"n > {SMALL}"))
-        if not open_rows.isEmpty():
-            judge(_closed(open_rows))
+    for meet in (_likeliest, _alike):
+        rooted = large.join(roots, large["k"] == roots["node"], "left").select("k", "band", "n", F.coalesce("root", "k").alias("root"))
+        sizes = rooted.groupBy("band", "root").agg(F.count("*").alias("size"), F.max("n").alias("n"))
+        parted = sizes.groupBy("band").agg(F.max(F.struct("size", "root"))["root"].alias("main"), F.count("*").alias("parts"), (F.floor(F.max("n") / BLOCK) + 1).cast("int").alias("blocks"))
+        dealt = rooted.join(parted.where("parts > 1"), "band").join(signed, "k")
+        # The likeliest partners are few and compared later; the rest is compared where it meets.
+        dealt = dealt.withColumn("line", F.lit(None).cast("string")) if meet is _likeliest else dealt.join(lines, "k")
+        own = dealt.withColumn("block", F.pmod(F.xxhash64("k", F.lit(7)), F.col("blocks")).cast("int")).withColumn("asks", F.lit(False))
+        asking = dealt.where("root <> main").withColumn("block", F.explode(F.expr("sequence(0, blocks - 1)"))).withColumn("asks", F.lit(True))
+        met = met_in_blocks(own.unionByName(asking), meet, threshold)
+        links = cut(links.unionByName(similar(met, lines, threshold) if meet is _likeliest else met))
+        roots = connected_components(links)
     return roots
 
 
-def _closed(rows: DataFrame) -> DataFrame:
-    """Pairs (a, b) of every line outside its bucket's largest component with the lines of all
-    other components, met in blocks."""
-    sizes = rows.groupBy("band", "root").agg(F.count("*").alias("size"))
-    main = sizes.groupBy("band").agg(F.max(F.struct("size", "root"))["root"].alias("main"))
-    dealt = rows.join(main, "band").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
-    own = dealt.withColumn("block", F.pmod(F.xxhash64("k", F.lit(7)), F.col("blocks")).cast("int"))
-    asking = dealt.where("root <> main").withColumn("block", F.explode(F.expr("sequence(0, blocks - 1)")))
-    one = asking.select("band", "block", F.col("k").alias("a"), F.col("root").alias("root_a"))
-    two = own.select("band", "block", F.col("k").alias("b"), F.col("root").alias("root_b"))
-    return one.join(two, ["band", "block"]).where("root_a <> root_b").select("a", "b")
-
-
 def lost_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Rows (doc_id, lost): for documents that lose lines, a mark for each line lost.
 
@@ -200,20 +398,37 @@ def _mark(pos: Column, k: Column) -> Column:
     return F.shiftleft(pos.cast("long"), 32).bitwiseOR(k.bitwiseAND(F.lit(0xFFFFFFFF)))
 
 
-def marked(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` with the marks of their lost lines in a column ``lost_marks`` more,
-    null where nothing is lost."""
+def kept_texts(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` with three columns more, in place of columns of these names:
+    ``kept_text``, the text without its lost lines, and ``n_lines`` and ``n_kept``."""
     lost = lost_lines(docs, threshold).select(F.col("doc_id").alias("lost_id"), F.col("lost").alias("lost_marks"))
-    joined = docs.join(lost, docs["doc_id"] == lost["lost_id"], "left")
-    return joined.select(*(docs[c] for c in docs.columns if c != "lost_marks"), lost["lost_marks"])
-
-
-def kept_lines(text: str = "text", lost: str = "lost_marks") -> Column:
-    """The array of lines that stay of a text."""
-    lines = F.split(text, "\n")
-    all_marks = F.transform(lines, lambda line, i: _mark(i, F.xxhash64(line)))
-    stays = F.transform(F.array_except(all_marks, lost), lambda x: F.get(lines, F.shiftright(x, 32).cast("int")))
-    return F.when(F.col(lost).isNull(), lines).otherwise(stays)
+    added = ("kept_text", "n_lines", "n_kept")
+    columns = [c for c in docs.columns if c not in (*added, "lost_marks")]
+    joined = docs.join(lost, docs["doc_id"] == lost["lost_id"], "left").select(*(docs[c] for c in columns), lost["lost_marks"])
+    place = columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, n_lines, n_kept = [], [], []
+            for text, marks in zip(batch.column(place), batch.column(len(columns))):
+                text, gone = text.as_py(), 0
+                lines = (text or "").count("\n") + 1 if text is not None else 0
+                if text is not None and marks.is_valid:
+                    parts = text.split("\n")
+                    for mark in marks.as_py():
+                        pos = mark >> 32
+                        if pos < lines and xxhash.xxh64_intdigest(parts[pos].encode(), 42) & 0xFFFFFFFF == mark & 0xFFFFFFFF:
+                            parts[pos] = None
+                            gone += 1
+                    text = "\n".join(x for x in parts if x is not None)
+                texts.append(text)
+                n_lines.append(lines)
+                n_kept.append(lines - gone)
+            more = [pa.array(texts, pa.string()), pa.array(n_lines, pa.int64()), pa.array(n_kept, pa.int64())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *more], names=[*columns, *added])
+
+    fields = [docs.schema[c] for c in columns] + [T.StructField("kept_text", T.StringType()), T.StructField("n_lines", T.LongType()), T.StructField("n_kept", T.LongType())]
+    return joined.mapInArrow(run, T.StructType(fields))
 
 
 def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -225,26 +440,17 @@ def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     by doc_id and position. Blank lines say nothing and stay. A null text has null arrays; rows
     with a null doc_id keep all their lines; rows that repeat a doc_id and its lines are one
     document, so they keep the same lines; further columns pass through; an empty table gives
-    an empty result. Lines are told apart by a 64-bit hash.
+    an empty result. Lines are told apart by a 64-bit hash, shingles by one of 52 bits.
 
-    Lines that are alike but share no band are not found. At a similarity of just 0.8 that is
-    some 2 pairs in 100, at 0.85 less than 1 in 200; a line is lost only if it misses all its
-    like. Of lines over 128 characters a share of the shingles is sampled by hash for the
-    signatures, by length, so two lines that are alike as sets while one repeats itself to more
-    than a quarter's greater length may not meet.
+    Lines that are alike but share no band, or whose signatures differ by chance, are not found.
+    At a similarity of just 0.8 that is less than 1 pair in 100, at 0.85 less than 1 in 500; a
+    line stays wrongly only if it misses all lines that it is like.
     """
-    done = marked(docs, threshold).withColumns({"lines": F.split("text", "\n"), "kept": kept_lines()})
-    return done.select(*(c for c in docs.columns if c not in ("lines", "kept", "lost_marks")), "lines", "kept")
+    done = kept_texts(docs, threshold).withColumns({"lines": F.split("text", "\n"), "kept": F.when(F.col("n_lines") > 0, F.when(F.col("n_kept") > 0, F.split("kept_text", "\n")).otherwise(F.array()))})
+    return done.select(*(c for c in docs.columns if c not in ("lines", "kept")), "lines", "kept")
 
 
 def line_report(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_lines, n_kept, kept_sha256 of the text that remains."""
-    done = marked(docs.select("doc_id", "text"))
-    lines = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
-    kept = done.select("doc_id", "text", lines.alias("n_lines"), F.when(F.col("lost_marks").isNotNull(), kept_lines()).alias("kept"))
-    return kept.select(
-        "doc_id",
-        F.coalesce("n_lines", F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce(F.size("kept"), "n_lines", F.lit(0)).cast("long").alias("n_kept"),
-        F.sha2(F.coalesce(F.array_join("kept", "\n"), F.col("text")).cast("binary"), 256).alias("kept_sha256"),
-    )
+    done = kept_texts(docs.select("doc_id", "text"))
+    return done.select("doc_id", "n_lines", "n_kept", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))

@@ -9,8 +9,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from basalt.llm.common import cut, parallelism
+from basalt.llm.common import cut, discard, parallelism
 from basalt.llm.components import connected_components
 
 #: Differing bits at which two fingerprints still link.
@@ -40,6 +41,19 @@ def fingerprint(text: bytes | None, size: int = 3, seed: int = 42) -> int:
     return int(np.packbits(2 * counts > len(hashes), bitorder="little").view("<u8")[0])
 
 
+def with_fingerprint(docs: DataFrame, column: str, size: int = 3) -> DataFrame:
+    """The rows of ``docs`` with the fingerprint's bits of their text in one long column more."""
+    place = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = (None if (t := x.as_py()) is None else t.encode() for x in batch.column(place))
+            found = np.fromiter((fingerprint(t, size) for t in texts), np.uint64, batch.num_rows)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found.view(np.int64))], names=[*batch.schema.names, column])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(column, T.LongType())]))
+
+
 def fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """Rows (key, fp): one for each document, ``fp`` the fingerprint's bits as a long."""
 
@@ -179,3 +193,29 @@ def simhash_groups(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     joined = prints.join(named, prints["fp"] == named["fp_of"], "left")
     own = F.when(F.col("doc_id").isNotNull(), F.col("component_id"))
     return joined.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), own.alias("component_id"))
+
+
+def first_of_groups(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """The rows of ``docs`` that come first in their group of near copies.
+
+    Groups are of fingerprints linked by ``radius`` or fewer differing bits, directly or through
+    others; first is the least doc_id (null last), then the least hash of all plain columns, and
+    one of rows that are alike in all of these. Every row is judged by its own text, so rows
+    that share a doc_id may differ in what becomes of them. Null, empty and blank texts have
+    fingerprint zero and are copies of each other. No column is added, whatever names there are;
+    an empty table gives an empty result.
+    """
+    mark = "simhash_mark"
+    while any(c.startswith(mark) for c in docs.columns):
+        mark += "_"
+    prints = cut(with_fingerprint(docs, mark))
+    reps = cut(prints.groupBy(F.col(mark).alias("fp")).agg(F.count("*").alias("n")).select("fp", F.col("fp").alias("id")))
+    roots = connected_components(fingerprint_links(reps, radius))
+    named = cut(reps.join(roots, reps["id"] == roots["node"], "left").select(F.col("fp").alias(f"{mark}_fp"), F.coalesce("root", "id").alias(f"{mark}_group")))
+    discard(reps)
+    plain = [F.col(f"`{f.name}`") for f in docs.schema.fields if isinstance(f.dataType, T.AtomicType)]
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.xxhash64(*plain).alias("h"))
+    placed = prints.join(named, prints[mark] == named[f"{mark}_fp"]).withColumn(f"{mark}_order", order)
+    first = placed.groupBy(F.col(f"{mark}_group").alias(f"{mark}_of")).agg(F.min(f"{mark}_order").alias(f"{mark}_first"))
+    stays = placed.join(first, placed[f"{mark}_group"] == first[f"{mark}_of"]).where(F.col(f"{mark}_order").eqNullSafe(F.col(f"{mark}_first")))
+    return stays.dropDuplicates([f"{mark}_group"]).select(*(F.col(f"`{c}`") for c in docs.columns))

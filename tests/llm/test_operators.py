@@ -175,8 +175,9 @@ def test_a_bucket_of_chained_lines_is_closed(spark, monkeypatch):
             words[rng.randrange(40)] = rng.choice(WORDS)
         chain.append(words)
     rows = [(i, " ".join(words), "s") for i, words in enumerate(chain)]
-    # All lines share one bucket, at every level, and no sketch tells any two apart.
-    one = lambda x, seed=0: x.select(F.col("k"), F.lit(0).alias("form"), F.array(F.lit(1).cast("long")).alias("bands"), F.lit(0).cast("long").alias("sketch"))
+    # All lines share one bucket, and no sketch tells any two apart.
+    none = F.lit(0).cast("long")
+    one = lambda x: x.select("k", none.alias("short"), none.alias("long"), F.array(F.lit(1).cast("long")).alias("bands"))
     monkeypatch.setattr(lines, "signatures", one)
     monkeypatch.setattr(lines, "BLOCK", 40)
     stays = {i for i, _ in plain_lines(rows)}

@@ -42,6 +42,37 @@ def test_stages_in_order(spark, tmp_path):
     assert sorted(map(str, again)) == sorted(map(str, last))
 
 
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, kept_text string, lost_marks string, simhash_mark string"
+
+
+def stage(spark, name, rows, folder):
+    """Rows of one stage over documents (doc_id, text) with columns whose names clash."""
+    full = [(i, t, "en", "s", len(t or ""), "x", "y", "z") for i, t in rows]
+    out = dict(corpus_pipeline.STAGES)[name](spark, spark.createDataFrame(full, DOCS), folder)
+    if name != "byte_bpe":
+        assert out.dtypes == spark.createDataFrame([], DOCS).dtypes
+    return out.collect()
+
+
+def test_stages_on_odd_rows(spark, tmp_path):
+    rng = random.Random(8)
+    prose = lambda n: " ".join(rng.choice(WORDS) for _ in range(n))
+    spark.createDataFrame([(i, 1, i % 2) for i in range(4)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    a, b = prose(80), prose(80)
+    rows = [(5, a), (5, b), (6, b), (7, b), (7, b), (None, b), (None, prose(50)), (8, ""), (9, None), (10, prose(60)), (10, prose(60))]
+    for name in ("toxicity", "line_dedup", "simhash", "mixing", "byte_bpe"):
+        assert stage(spark, name, [], str(tmp_path)) == []
+    kept = sorted((str(r["doc_id"]), r["text"]) for r in stage(spark, "simhash", rows, str(tmp_path)))
+    # Each row by its own text: both texts of id 5 are first of their groups, nulls and blanks are one group.
+    want = [(5, a), (5, b), rows[6], rows[7], rows[9], rows[10]]
+    assert kept == sorted((str(i), t) for i, t in want)
+    lines = stage(spark, "line_dedup", rows, str(tmp_path))
+    assert sorted((str(r["doc_id"]), r["text"] or "") for r in lines if r["doc_id"] is None) == sorted((str(i), t) for i, t in rows if i is None)
+    assert {(r["doc_id"], r["text"]) for r in lines} >= {(5, a), (5, b), (8, ""), (9, None)} and not [r for r in lines if r["doc_id"] in (6, 7)]
+    assert all(r["n_chars"] == len(r["text"] or "") and r["kept_text"] == "x" and r["simhash_mark"] == "z" for r in lines)
+    assert len(stage(spark, "toxicity", rows, str(tmp_path))) in (0, len(rows))
+
+
 def test_one_query_for_each_operator():
     assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
     assert set(queries.ORACLE_SQL) <= set(queries.QUERIES)
