@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 # -- casts and text normalisation ------------------------------------------------------------
 
 #: Texts that only say that nothing is known. Fixed values.
-EMPTYISH = ("", "-", "unknown", "na", "n/a", "none", "null", "not collected", "not applicable", "missing")
+EMPTYISH = ("", "-", "unknown", "na", "none", "not collected", "not provided", "missing")
 
 
 def as_int(c: Column) -> Column:

@@ -62,7 +62,7 @@ def _hydrophobic_core(s: str) -> tuple[int, int, float] | None:
             total += HYDROPATHY.get(s[start + n - 2], 0.0)
             mean = total / n
             if n >= 8 and mean >= 2.2 and (found is None or mean > found[2]):
-                found = (start, start + n - 1, mean)
+                found = (start, start + n - 1, round(mean, 2))  # the kept mean has two digits
     return found
 
 

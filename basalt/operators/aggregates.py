@@ -26,9 +26,12 @@ def mode_quorum(df: DataFrame, keys: list[str], value: str, quorum: float = 0.5)
 
 def upper_median(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """The element at half the count of the sorted values: the upper one of two middles."""
-    window = W.partitionBy(*keys)
-    placed = df.where(F.col(value).isNotNull()).withColumn("_place", F.row_number().over(window.orderBy(value))).withColumn("_n", F.count("*").over(window))
-    return placed.where("_place = _n div 2 + 1").select(*keys, F.col(value).alias("median"), F.col("_n").alias("n"))
+    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_here"))
+    total = counts.groupBy(*keys).agg(F.sum("_here").alias("n"))
+    # Only different values are put in order, so a key with very many rows costs their number.
+    upto = counts.withColumn("_upto", F.sum("_here").over(W.partitionBy(*keys).orderBy(value)))
+    placed = upto.join(total, keys).where("_upto - _here < n div 2 + 1 and _upto >= n div 2 + 1")
+    return placed.select(*keys, F.col(value).alias("median"), "n")
 
 
 def resistance_evidence(mechanism: Column, only_target: Column, rows: Column) -> Column:

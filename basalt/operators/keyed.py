@@ -16,16 +16,17 @@ def orphans(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
 def keyed_merge(base: DataFrame, update: DataFrame, key: str, append: tuple[str, ...] = ()) -> DataFrame:
     """Merge ``update`` into ``base``: arrays named in ``append`` grow, other columns that the
-    update has are replaced where it knows a value. An unknown key is an error."""
-    known = base.select(F.col(key).alias("_known")).distinct()
-    checked = update.join(known, update[key] == known["_known"], "left")
-    guard = F.when(F.col("_known").isNull(), F.raise_error(F.concat(F.lit("unknown key "), F.coalesce(F.col(key).cast("string"), F.lit("null"))))).otherwise(F.col(key))
-    fresh = checked.select(guard.alias("_key"), *(F.col(c).alias(f"_new_{c}") for c in update.columns if c != key))
-    joined = base.join(fresh, base[key] == fresh["_key"], "full")
+    update has are replaced where it knows a value. An unknown key is an error, and so is a key
+    that the update has twice."""
+    new = [F.first(F.col(c)).alias(f"_new_{c}") for c in update.columns if c != key]
+    fresh = update.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_times"), *new).withColumn("_given", F.lit(True))
+    joined = base.withColumn("_known", F.lit(True)).join(fresh, base[key] == fresh["_key"], "full")
+    shown = F.coalesce(F.col("_key").cast("string"), F.lit("null"))
+    refused = F.when(F.col("_given") & F.col("_known").isNull(), F.concat(F.lit("unknown key "), shown)).when(F.col("_times") > 1, F.concat(F.lit("repeated key "), shown))
     out = []
     for c in base.columns:
         if c == key:
-            out.append(F.coalesce(c, "_key").alias(c))
+            out.append(F.when(refused.isNotNull(), F.raise_error(refused)).otherwise(F.col(c)).alias(c))
         elif f"_new_{c}" not in joined.columns:
             out.append(F.col(c))
         elif c in append:

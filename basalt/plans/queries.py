@@ -413,4 +413,4 @@ def streaming_latest_best(t: Tables) -> DataFrame:
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return QUERIES["triage_orders"](spark, sf_dir)
+    return QUERIES["triage_proteins"](spark, sf_dir)

@@ -57,9 +57,11 @@ def json_records(spark: SparkSession, path: str) -> DataFrame:
 def tolerant_text(spark: SparkSession, path: str) -> DataFrame:
     """Rows (path, text): UTF-8, with or without a mark, or else Windows-1252."""
     files = spark.read.format("binaryFile").load(path)
-    text = F.coalesce(F.try_validate_utf8(F.decode("content", "ISO-8859-1")), F.decode("content", "windows-1252"))
     utf8 = F.expr("try_validate_utf8(cast(content as string))")
-    return files.select("path", F.regexp_replace(F.coalesce(utf8, text), "^﻿", "").alias("text"))
+    # Spark has no decoder for Windows-1252; it is Latin-1 but for the places 0x80 to 0x9F.
+    places = [i for i in range(0x80, 0xA0) if bytes([i]).decode("cp1252", "ignore")]
+    western = F.translate(F.decode("content", "ISO-8859-1"), "".join(map(chr, places)), bytes(places).decode("cp1252"))
+    return files.select("path", F.regexp_replace(F.coalesce(utf8, western), "^﻿", "").alias("text"))
 
 
 def hits(spark: SparkSession, path: str) -> DataFrame:

@@ -36,6 +36,8 @@ def test_tables_json_and_text(spark, tmp_path):
     assert sorted(r["patric_id"] for r in json_records(spark, str(tmp_path / "t.json")).collect()) == ["p", "q"]
     (tmp_path / "w.txt").write_bytes("naïve".encode("cp1252"))
     assert tolerant_text(spark, str(tmp_path / "w.txt")).first()["text"] == "naïve"
+    (tmp_path / "q.txt").write_bytes("“quoted” €5".encode("cp1252"))
+    assert tolerant_text(spark, str(tmp_path / "q.txt")).first()["text"] == "“quoted” €5"
 
 
 def test_provider_outputs(spark, tmp_path):
