@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 #: The mark that stands for a space within pieces.
 SPACE = "▁"
-#: Characters of a text that one row of the scan maps; longer texts are mapped by many tasks.
+#: Characters of a chunk; the chunks of a longer text are mapped apart and their maps composed.
 CHUNK = 65_536
-#: States, and words or pairs of tokens, that a worker keeps before it starts anew.
-MAX_STATES, MAX_WORDS = 150_000, 400_000
+#: States, characters of words, and pairs of tokens, that a worker keeps before it starts anew.
+MAX_STATES, MAX_CHARS, MAX_PAIRS = 250_000, 12_000_000, 400_000
 #: Tokens above which a text is over the limit.
 LIMIT = 4096
 
@@ -115,7 +115,7 @@ class Transducer:
                     i += 1
                 else:
                     j += 1
-            if len(self.together) > MAX_WORDS:
+            if len(self.together) > MAX_PAIRS:
                 self.together.clear()
             self.together[first, second] = known
         return known
@@ -127,10 +127,13 @@ class Transducer:
         if char not in scores:
             moved = self.number("", ((0, None, 0, places[-1][3]),)), len(char.encode())
         else:
-            whole = suffix + char
+            whole, together = suffix + char, self.together
             for offset, last, count, lone in places:
                 token = whole[offset:]
-                if token in scores and self.allowed(last, token):
+                if token not in scores:
+                    continue
+                fits = together.get((last, token))
+                if self.allowed(last, token) if fits is None else fits:
                     total, first_lone = count + 1, token == SPACE if last == "" else lone
                     break
             live = [x for x in places if whole[x[0] :] in prefixes]
@@ -140,16 +143,29 @@ class Transducer:
         self.moves[at][char] = moved
         return moved
 
-    def run(self, word: str) -> tuple[int, bool]:
-        """Tokens of ``word``, its space mark first, and whether that mark is a token alone."""
-        if len(self.keys) > MAX_STATES:
-            self.reset()
-        at, count, moves = self.start, 0, self.moves
-        for char in word:
-            moved = moves[at].get(char) or self.compile(at, char)
-            at = moved[0]
-            count += moved[1]
-        return count, self.keys[at][1][-1][3]
+    def run_sorted(self, words: list[str]) -> Iterator[tuple[int, bool]]:
+        """Of each word, its space mark first, the tokens and whether that mark is a token alone.
+        Words come in order, so each is walked only from where it leaves the one before."""
+        path, before = [(self.start, 0)], ""
+        for word in words:
+            if len(self.keys) > MAX_STATES:
+                self.reset()
+                path, before = [(self.start, 0)], ""
+            same = 0
+            for x, y in zip(word, before):
+                if x != y:
+                    break
+                same += 1
+            del path[same + 1 :]
+            at, count = path[-1]
+            moves = self.moves
+            for char in word[same:]:
+                moved = moves[at].get(char) or self.compile(at, char)
+                at = moved[0]
+                count += moved[1]
+                path.append((at, count))
+            before = word
+            yield count, self.keys[at][1][-1][3]
 
 
 class Counter:
@@ -158,27 +174,49 @@ class Counter:
     def __init__(self, scores: dict[str, float]) -> None:
         self.machine = Transducer(scores)
         self.longest = max(n for n in range(1, 65) if SPACE * n in scores)
-        self.known: dict[str, tuple[int, bool]] = {}
+        self.reset()
+
+    def reset(self) -> None:
+        self.counts: dict[str, int] = {}
+        self.lone: set[str] = set()
+        self.held = 0
+
+    def learn(self, words: set[str]) -> None:
+        """Count the tokens of words that are not remembered."""
+        counts = self.counts
+        new = sorted(x for x in words if x and x not in counts)
+        if not new:
+            return
+        size = sum(map(len, new))
+        if self.held + size > MAX_CHARS and self.counts:
+            self.reset()
+            new = sorted(words - {""})
+            size = sum(map(len, new))
+        self.held += size
+        for word, (count, lone) in zip(new, self.machine.run_sorted([SPACE + x for x in new])):
+            self.counts[word] = count
+            if lone:
+                self.lone.add(word)
 
     def segment(self, marks: int, word: str) -> int:
         """Tokens of ``marks`` space marks followed by ``word``. Runs of marks merge last, from
         the left, into the longest run piece."""
         if not word:
             return -(-marks // self.longest)
-        found = self.known.get(word)
-        if found is None:
-            if len(self.known) > MAX_WORDS:
-                self.known.clear()
-            found = self.known[word] = self.machine.run(SPACE + word)
-        count, lone = found
+        count = self.counts[word]
         if marks == 1:
             return count
-        return count - 1 - (-marks // self.longest) if lone else count - (-(marks - 1) // self.longest)
+        return count - 1 - (-marks // self.longest) if word in self.lone else count - (-(marks - 1) // self.longest)
 
     def segments(self, marked: str) -> int:
         """Tokens of whole segments; ``marked`` starts with a space, or is empty."""
+        words = marked.split(" ")[1:]
+        different = set(words)
+        self.learn(different)
+        if "" not in different:
+            return sum(map(self.counts.__getitem__, words))
         total, marks = 0, 0
-        for word in marked.split(" ")[1:]:
+        for word in words:
             marks += 1
             if word:
                 total += self.segment(marks, word)
