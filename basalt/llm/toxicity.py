@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -23,32 +25,35 @@ LEET = {
 #: Marks that may be slipped between the letters of a word.
 FILLERS = "._-*~'`^,:/\\"
 #: Natural-log costs of the channel's steps.
-SUBSTITUTE, COLLAPSE, DELETE, JOIN = 1.0, 0.7, 0.7, 0.5
-#: Letters of a token beyond which it is no disguised word.
-LONGEST = 40
-#: Labelled documents that the classifier is fitted on, and its features, at most.
-MAX_TRAIN, MAX_FEATURES = 10_000, 4096
-#: Trigrams of the character model, at most; the commonest stay.
-MAX_GRAMS = 200_000
-#: Distinct words that a Python worker remembers.
-CACHE = 400_000
+SUBSTITUTE, COLLAPSE, DELETE, BREAK = 1.0, 0.7, 0.7, 0.5
+#: Labelled documents that the classifier is fitted on, at most.
+MAX_TRAIN = 10_000
+#: Distinct words that a Python worker remembers, and letters of those that it does.
+CACHE, REMEMBERED = 400_000, 64
 
 _EDGES = "\"'.,;:!?()[]{}<>*%&#$@~`^|\\/-_=+«»“”‘’…"
 _RUN = re.compile(r"(.)\1\1")
 _DISGUISE = re.compile("[" + re.escape("".join(LEET) + FILLERS) + "]")
-_LETTER = re.compile(r"[^\W\d_]")
 
 
 # -- the character language model ------------------------------------------------------------
 
 
+@lru_cache(65_536)
+def folded(char: str) -> str:
+    """The letter that the character model knows: Latin letters without their marks, and one
+    symbol for all letters of another block, so that trigrams are bounded by the alphabet."""
+    base = unicodedata.normalize("NFD", char)[0]
+    return base if ord(base) < 0x250 else chr(0xE000 + (ord(base) >> 8))
+
+
 def word_ngrams(words: Counter) -> Counter:
     """Trigram counts, with ``^`` and ``$`` as the word's ends, of plain words."""
     found: Counter = Counter()
     for word, n in words.items():
         word = word.strip(_EDGES)
-        if 0 < len(word) <= LONGEST and word.isalpha():
-            padded = f"^^{word}$"
+        if word.isalpha():
+            padded = f"^^{''.join(map(folded, word))}$"
             for i in range(len(padded) - 2):
                 found[padded[i : i + 3]] += n
     return found
@@ -107,11 +112,12 @@ class CharacterModel:
 
 def lattice(token: str) -> list[list[tuple[str, float, int]]]:
     """For each place in ``token``, the steps (letters written, cost, places consumed)."""
+    runs = [1] * len(token)
+    for i in range(len(token) - 2, -1, -1):
+        if token[i] == token[i + 1]:
+            runs[i] += runs[i + 1]
     steps: list[list[tuple[str, float, int]]] = []
-    for i, char in enumerate(token):
-        run = 1
-        while i + run < len(token) and token[i + run] == char:
-            run += 1
+    for char, run in zip(token, runs):
         here: list[tuple[str, float, int]] = []
         if char.isalpha():
             here.append((char, 0.0, 1))
@@ -127,26 +133,40 @@ def lattice(token: str) -> list[list[tuple[str, float, int]]]:
     return steps
 
 
-def decode(token: str, model: CharacterModel) -> tuple[str, float]:
-    """Viterbi: the cheapest word whose disguise ``token`` may be, and its cost per letter."""
-    steps = lattice(token)
-    best: list[dict[str, tuple[float, str]]] = [{} for _ in range(len(token) + 1)]
-    best[0]["^^"] = (0.0, "")
-    for i, here in enumerate(steps):
-        for history, (cost, word) in best[i].items():
+def decode(token: str, model: CharacterModel, breaks: bool = False) -> tuple[str, float]:
+    """Viterbi: the cheapest text whose disguise ``token`` may be, and its cost per letter.
+
+    With ``breaks`` a word may end after any letter, so that several words come out, parted by
+    spaces. A state is the last two letters; each keeps only a link to the one before, and places
+    that are done are let go, so tokens of any length are decoded whole."""
+    open_states: dict[int, dict[str, tuple[float, tuple | None]]] = {0: {"^^": (0.0, None)}}
+    for i, here in enumerate(lattice(token)):
+        for history, (cost, link) in open_states.pop(i, {}).items():
             for letters, price, used in here:
-                total, past, out = cost + price, history, word
+                total, past = cost + price, history
                 for letter in letters:
-                    total += model.cost(past, letter)
-                    past, out = past[1] + letter, out + letter
-                old = best[i + used].get(past)
-                if old is None or (total, out) < old:
-                    best[i + used][past] = (total, out)
-    ends = [(cost + model.cost(history, "$"), word) for history, (cost, word) in best[-1].items() if word]
+                    known = folded(letter)
+                    total += model.cost(past, known)
+                    past = past[1] + known
+                reached = open_states.setdefault(i + used, {})
+                old = reached.get(past)
+                if old is None or total < old[0]:
+                    reached[past] = total, (link, letters) if letters else link
+                if breaks and letters:
+                    ended = total + model.cost(past, "$") + BREAK
+                    old = reached.get("^^")
+                    if old is None or ended < old[0]:
+                        reached["^^"] = ended, ((link, letters), " ")
+    ends = [(cost + (0.0 if history == "^^" else model.cost(history, "$")), link) for history, (cost, link) in open_states.get(len(token), {}).items() if link]
     if not ends:
         return token, float("inf")
-    cost, word = min(ends)
-    return word, cost / (len(word) + 1)
+    cost, link = min(ends, key=lambda x: x[0])
+    parts = []
+    while link:
+        link, letters = link
+        parts.append(letters)
+    text = "".join(reversed(parts)).strip()
+    return text, cost / (len(text) + 1)
 
 
 class Restorer:
@@ -164,24 +184,22 @@ class Restorer:
         bare = raw.strip(_EDGES)
         words = [bare] if bare else []
         core = raw.strip("\"'.,;:?()[]{}<>")
-        if 3 <= len(core) <= LONGEST and _LETTER.search(core) and (_DISGUISE.search(core) or _RUN.search(core)):
+        if len(core) >= 3 and (_DISGUISE.search(core) or _RUN.search(core)):
             word, _ = decode(core, self.model)
             if word != bare:
                 words.append(word)
         found = tuple(words)
-        if len(self.seen) > CACHE:
-            self.seen.clear()
-        self.seen[raw] = found
+        if len(raw) <= REMEMBERED:
+            if len(self.seen) > CACHE:
+                self.seen.clear()
+            self.seen[raw] = found
         return found
 
     def spaced(self, letters: list[str]) -> tuple[str, ...]:
-        """Words of a row of single characters: joined where the model finds that cheaper."""
-        text = "".join(letters)
-        if not 3 <= len(text) <= LONGEST:
-            return ()
-        word, cost = decode(text, self.model)
-        apart = np.mean([self.model.cost("^^", x) + self.model.cost(f"^{x}", "$") for x in word]) / 2 if word else 0.0
-        return (word,) if cost + JOIN / len(text) < apart else ()
+        """The words of a row of single characters of any length, parted where the model finds
+        that cheapest; letters that stay alone say nothing new."""
+        text, _ = decode("".join(letters), self.model, breaks=True)
+        return tuple(x for x in text.split() if len(x) > 1)
 
     def words(self, text: str) -> set[str]:
         """The distinct restored words of a whole text."""
@@ -233,9 +251,9 @@ def _features(docs: DataFrame, restorer) -> DataFrame:
 
 def fit(docs: DataFrame, labels: DataFrame, model) -> dict[str, float]:
     """Feature weights, ``""`` the bias, from at most ``MAX_TRAIN`` labelled documents that are
-    not held out. Features are those whose log odds stand out by 2.6 standard errors, the
-    ``MAX_FEATURES`` clearest at most; the logistic regression
-    has a ridge penalty and is solved by full gradient steps with adaptive rates."""
+    not held out. Features are all of the sample's whose log odds stand out by 2.6 standard
+    errors; the logistic regression has a ridge penalty and is solved by full gradient steps
+    with adaptive rates."""
     marked = labels.where(F.col("toxic").isin(0, 1) & ~held_out()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     chosen = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_TRAIN)
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most MAX_TRAIN rows
@@ -248,12 +266,12 @@ def fit(docs: DataFrame, labels: DataFrame, model) -> dict[str, float]:
     counts = rows.groupBy("feature").agg(F.sum("toxic").alias("t"), F.count("*").alias("n"))
     odds = F.log(((F.col("t") + 0.5) / (bad + 1)) / ((F.col("n") - F.col("t") + 0.5) / (good + 1)))
     error = F.sqrt(1 / (F.col("t") + 0.5) + 1 / (F.col("n") - F.col("t") + 0.5))
-    best = counts.withColumn("gain", F.abs(odds) / error).where("n >= 3 and gain >= 2.6").orderBy(F.desc("gain"), "feature").limit(MAX_FEATURES)
+    best = counts.withColumn("gain", F.abs(odds) / error).where("n >= 3 and gain >= 2.6").orderBy(F.desc("gain"), "feature")
     vocabulary = {r["feature"]: i for i, r in enumerate(best.select("feature").collect())}
     numbered = docs.sparkSession.createDataFrame(pd.DataFrame({"feature": list(vocabulary), "at": range(len(vocabulary))}), "feature string, at int")
     if not vocabulary:
         return {"": float(np.log(bad / good))}
-    held = rows.join(F.broadcast(numbered), "feature").select("row", "at").toPandas()  # at most MAX_FEATURES rows
+    held = rows.join(F.broadcast(numbered), "feature").select("row", "at").toPandas()  # of the bounded sample
     known = sample.select("row", "toxic").distinct().toPandas().sort_values("row").drop_duplicates("row").reset_index(drop=True)
     at = pd.Series(known.index, index=known["row"])
     r, c = at[held["row"]].to_numpy(np.int32), held["at"].to_numpy(np.int32)
@@ -272,8 +290,12 @@ def fit(docs: DataFrame, labels: DataFrame, model) -> dict[str, float]:
 
 
 def with_toxicity(docs: DataFrame, labels: DataFrame, column: str = "toxicity") -> DataFrame:
-    """The rows of ``docs`` with their score in one double column more; no row is shuffled."""
-    grams = {r["gram"]: r["n"] for r in character_counts(docs).where("n > 1").orderBy(F.desc("n"), "gram").limit(MAX_GRAMS).collect()}
+    """The rows of ``docs`` with their score in one double column more; no row is shuffled.
+
+    ``column`` must not be a name that ``docs`` has: that is an error."""
+    if column in docs.columns:
+        raise ValueError(f"documents have a column {column} already")
+    grams = {r["gram"]: r["n"] for r in character_counts(docs).collect()}  # bounded by the alphabet
     context = docs.sparkSession.sparkContext
     model = context.broadcast(CharacterModel(grams))
     weights = context.broadcast(fit(docs, labels, model))

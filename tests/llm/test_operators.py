@@ -204,7 +204,7 @@ def scored(spark):
             words[rng.randrange(60)] = rng.choice(bad)
         rows.append((i, " ".join(words), "s"))
         marks.append((i, None, int(i % 4 == 0), "clash"))
-    disguised = ["1d10t", "i d i o t", "idiooooot", "s.c.u.m.b.a.g", "l0$er"]
+    disguised = ["1d10t", "i d i o t", "idiooooot", "s.c.u.m.b.a.g", "l0$er", "a i d i o t", "t h a t e s t s c u m b a g o f a t i n g w h e n", "_.-" * 20 + "s_c_u_m_b_a_g"]
     rows += [(1000 + i, f"{prose(30, rng)} {x} {prose(30, rng)}", "s") for i, x in enumerate(disguised)]
     rows += [(2000, None, None), (2001, "", "s"), (2002, "3.5 1990 10:30 !!! ---", "s"), (2003, prose(20_000, rng), "s"), (None, "loser", "s"), (1000, "repeated", "s")]
     labels = spark.createDataFrame([*marks, (3, None, None, "x"), (5, None, 7, "x")], "doc_id long, quality int, toxic int, text string")
@@ -217,9 +217,9 @@ def test_toxicity_held_out_and_disguised(scored):
     out = {r["doc_id"]: r for r in scored[2] if r["doc_id"] is not None}
     held = [r for i, r in out.items() if i < 400 and zlib.crc32(str(i).encode()) % 5 == 0]
     assert all(r["held_out"] for r in held) and sum(r["predicted"] == (r["doc_id"] % 4 == 0) for r in held) >= 0.95 * len(held)
-    assert sum(out[1000 + i]["predicted"] for i in range(1, 5)) == 4
+    assert sum(out[1000 + i]["predicted"] for i in range(1, 8)) == 7
     assert not any(out[i]["predicted"] for i in (2000, 2001, 2002, 2003))
-    assert len(scored[2]) == 411 and all(0 <= r["score"] <= 1 for r in scored[2])
+    assert len(scored[2]) == 414 and all(0 <= r["score"] <= 1 for r in scored[2])
 
 
 def test_toxicity_without_labels_or_rows(spark, scored):
@@ -228,6 +228,19 @@ def test_toxicity_without_labels_or_rows(spark, scored):
     assert toxicity.toxicity_scores(docs.where("false"), labels).count() == 0
 
 
+def test_long_tokens_and_rows_are_decoded_whole(spark):
+    from collections import Counter
+
+    model = toxicity.CharacterModel(toxicity.word_ngrams(Counter({"idiot": 50, "you": 90, "are": 70, "an": 60})))
+    assert toxicity.decode("youareanidiot", model, breaks=True)[0].split() == ["you", "are", "an", "idiot"]
+    restore = toxicity.Restorer(model)
+    assert "idiot" in restore.words(" ".join("youareanidiot" * 40))
+    assert len(toxicity.decode("1d10t" * 10_000, model)[0]) == 50_000 and toxicity.decode("x" * 50_000, model)[0] in ("x", "xx")
+    assert toxicity.folded("É".lower()) == "e" and toxicity.folded("日") == toxicity.folded("旦")
+    with pytest.raises(ValueError):
+        toxicity.with_toxicity(spark.createDataFrame([], "text string, s double"), None, "s")
+
+
 def test_viterbi_finds_the_cheapest_path():
     from collections import Counter
     from itertools import product
