@@ -32,7 +32,7 @@ TINY, TINY_BANDS, TINY_ROWS, SHORT, SHORT_ROWS = 12, 8, 2, 64, 4
 #: common but for once in 500 times.
 KEPT, AGREEING = 30, 19
 #: Bits of a shingle's hash, and characters hashed at once.
-BITS, CHUNK = 40, 2_000_000
+BITS, CHUNK = 40, 500_000
 #: Lines of a bucket that are compared all with all, and lines from which a bucket counts as hot.
 SMALL, HOT = 8, 10_000
 #: Lines in a block of a bucket that is closed in full.
@@ -202,12 +202,14 @@ def placed_in_buckets(rows: DataFrame) -> DataFrame:
     some = rows.where("pmod(xxhash64(k, 1), 64) = 0").groupBy("band").agg(F.count("*").alias("seen")).where(F.col("seen") >= HOT // 64)
     hot = cut(some.select("band"))
     bucket = W.partitionBy("band")
-    cold = rows.join(hot, "band", "left_anti").select("k", "band", F.count("*").over(bucket).alias("n"), F.min("k").over(bucket).alias("lo"))
+    any_hot = not hot.isEmpty()
+    cold = rows.join(hot, "band", "left_anti") if any_hot else rows
+    cold = cold.select("k", "band", F.count("*").over(bucket).alias("n"), F.min("k").over(bucket).alias("lo")).where("n > 1")
+    if not any_hot:
+        return cut(cold)
     counted = rows.join(hot, "band", "left_semi").groupBy("band").agg(F.count("*").alias("n"), F.min("k").alias("lo"))
     warm = rows.join(counted, "band").select("k", "band", "n", "lo")
-    found = cut(cold.where("n > 1").unionByName(warm))
-    discard(hot)
-    return found
+    return cut(cold.unionByName(warm))
 
 
 def jaccard(one: list[str], two: list[str]) -> np.ndarray:
@@ -363,14 +365,19 @@ def line_links(lines: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         rooted = large.join(roots, large["k"] == roots["node"], "left").select("k", "band", "n", F.coalesce("root", "k").alias("root"))
         sizes = rooted.groupBy("band", "root").agg(F.count("*").alias("size"), F.max("n").alias("n"))
         parted = sizes.groupBy("band").agg(F.max(F.struct("size", "root"))["root"].alias("main"), F.count("*").alias("parts"), (F.floor(F.max("n") / BLOCK) + 1).cast("int").alias("blocks"))
-        dealt = rooted.join(parted.where("parts > 1"), "band").join(signed, "k")
+        dealt = rooted.join(parted.where("parts > 1"), "band")
         # The likeliest partners are few and compared later; the rest is compared where it meets.
-        dealt = dealt.withColumn("line", F.lit(None).cast("string")) if meet is _likeliest else dealt.join(lines, "k")
+        if meet is _likeliest:
+            unused = {"bands": F.lit(None).cast("array<long>"), "line": F.lit(None).cast("string")}
+            dealt = dealt.join(signed.select("k", "short", "long"), "k").withColumns(unused)
+        else:
+            dealt = dealt.join(signed, "k").join(lines, "k")
         own = dealt.withColumn("block", F.pmod(F.xxhash64("k", F.lit(7)), F.col("blocks")).cast("int")).withColumn("asks", F.lit(False))
         asking = dealt.where("root <> main").withColumn("block", F.explode(F.expr("sequence(0, blocks - 1)"))).withColumn("asks", F.lit(True))
         met = met_in_blocks(own.unionByName(asking), meet, threshold)
         links = cut(links.unionByName(similar(met, lines, threshold) if meet is _likeliest else met))
         roots = connected_components(links)
+    discard(signed, large)
     return roots
 
 

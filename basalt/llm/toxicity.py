@@ -9,7 +9,6 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,7 +28,7 @@ SUBSTITUTE, COLLAPSE, DELETE, BREAK = 1.0, 0.7, 0.7, 0.5
 #: Labelled documents that the classifier is fitted on, at most.
 MAX_TRAIN = 10_000
 #: Distinct words that a Python worker remembers, and letters of those that it does.
-CACHE, REMEMBERED = 400_000, 64
+CACHE, REMEMBERED = 100_000, 64
 
 _EDGES = "\"'.,;:!?()[]{}<>*%&#$@~`^|\\/-_=+«»“”‘’…"
 _RUN = re.compile(r"(.)\1\1")
@@ -268,14 +267,14 @@ def fit(docs: DataFrame, labels: DataFrame, model) -> dict[str, float]:
     error = F.sqrt(1 / (F.col("t") + 0.5) + 1 / (F.col("n") - F.col("t") + 0.5))
     best = counts.withColumn("gain", F.abs(odds) / error).where("n >= 3 and gain >= 2.6").orderBy(F.desc("gain"), "feature")
     vocabulary = {r["feature"]: i for i, r in enumerate(best.select("feature").collect())}
-    numbered = docs.sparkSession.createDataFrame(pd.DataFrame({"feature": list(vocabulary), "at": range(len(vocabulary))}), "feature string, at int")
+    numbered = docs.sparkSession.createDataFrame(list(vocabulary.items()), "feature string, at int")
     if not vocabulary:
         return {"": float(np.log(bad / good))}
-    held = rows.join(F.broadcast(numbered), "feature").select("row", "at").toPandas()  # of the bounded sample
-    known = sample.select("row", "toxic").distinct().toPandas().sort_values("row").drop_duplicates("row").reset_index(drop=True)
-    at = pd.Series(known.index, index=known["row"])
-    r, c = at[held["row"]].to_numpy(np.int32), held["at"].to_numpy(np.int32)
-    y = known["toxic"].to_numpy(float)
+    held = rows.join(F.broadcast(numbered), "feature").select("row", "at").toArrow()  # of the bounded sample
+    known = sample.groupBy("row").agg(F.max("toxic").alias("toxic")).toArrow().sort_by("row")
+    r = np.searchsorted(known["row"].to_numpy(), held["row"].to_numpy()).astype(np.int32)
+    c, y = held["at"].to_numpy().astype(np.int32), known["toxic"].to_numpy().astype(float)
+    del held
     # Adam on the sparse design: few passes, deterministic.
     w, b = np.zeros(len(vocabulary)), float(np.log(bad / good))
     m, v = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
