@@ -13,6 +13,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basalt.llm.common import kept
+
 #: White space as the tokenizers' pattern means it: the Unicode property, in place of ``\s``.
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Distinct words that a Python worker remembers, and characters taken at once.
@@ -174,14 +176,9 @@ class ByteBPE:
             yield b"".join([x[0] for x in found]), b"".join([x[1] for x in found])
 
 
-_LOADED: dict[tuple[str, str], ByteBPE] = {}
-
-
 def loaded(path: str, pattern: str) -> ByteBPE:
     """The vocabulary, kept by the Python worker from task to task."""
-    if (path, pattern) not in _LOADED:
-        _LOADED[path, pattern] = ByteBPE(path, pattern)
-    return _LOADED[path, pattern]
+    return kept(("bpe", path, pattern), lambda: ByteBPE(path, pattern))
 
 
 def encode_decode(docs: DataFrame, path: str, pattern: str) -> DataFrame:

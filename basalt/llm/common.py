@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,6 +54,25 @@ def discard(*tables: DataFrame) -> None:
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+_KEPT: dict = {}
+
+
+def kept(key, make):
+    """What ``make`` builds, kept by the Python worker from task to task. A worker holds the
+    state of one operator at a time: that of another goes first."""
+    if key not in _KEPT:
+        release()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def release() -> None:
+    """Let go what another operator has left in this Python worker."""
+    if _KEPT:
+        _KEPT.clear()
+        gc.collect()
+
+
 def parallelism(df: DataFrame) -> int:
     """Partitions for a keyed repartition: the session's shuffle setting."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basalt.llm.common import cut, discard, parallelism
+from basalt.llm.common import cut, discard, parallelism, release
 from basalt.llm.components import connected_components
 
 #: Jaccard similarity of character shingles from which two lines are one.
@@ -171,6 +171,7 @@ def signatures(lines: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             done = 0
             for part in _shorter(batch.column(1).to_pylist()):

@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basalt.llm.common import kept
+
 #: The mark that stands for a space within pieces.
 SPACE = "▁"
 #: Characters of a chunk; the chunks of a longer text are mapped apart and their maps composed.
@@ -261,14 +263,9 @@ class Counter:
         return self.segments(head) + (0 if middle is None else middle + self.segments(tail))
 
 
-_LOADED: dict[str, Counter] = {}
-
-
 def loaded(path: str) -> Counter:
     """The compiled machine, kept by the Python worker from task to task."""
-    if path not in _LOADED:
-        _LOADED[path] = Counter(read_pieces(path))
-    return _LOADED[path]
+    return kept(("pieces", path), lambda: Counter(read_pieces(path)))
 
 
 def token_counts(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basalt.llm.common import cut, held_out
+from basalt.llm.common import cut, held_out, release
 
 #: Letters that a symbol may stand for. Fixed values of the channel.
 LEET = {
@@ -28,7 +28,7 @@ SUBSTITUTE, COLLAPSE, DELETE, BREAK = 1.0, 0.7, 0.7, 0.5
 #: Labelled documents that the classifier is fitted on, at most.
 MAX_TRAIN = 10_000
 #: Distinct words that a Python worker remembers, and letters of those that it does.
-CACHE, REMEMBERED = 100_000, 64
+CACHE, REMEMBERED = 300_000, 64
 
 _EDGES = "\"'.,;:!?()[]{}<>*%&#$@~`^|\\/-_=+«»“”‘’…"
 _RUN = re.compile(r"(.)\1\1")
@@ -62,6 +62,7 @@ def character_counts(docs: DataFrame) -> DataFrame:
     """Rows (gram, n): trigram counts over the plain words of all texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         words: Counter = Counter()
         grams: Counter = Counter()
         for batch in batches:
@@ -301,6 +302,7 @@ def with_toxicity(docs: DataFrame, labels: DataFrame, column: str = "toxicity")
     place = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         restore, weight = Restorer(model.value), weights.value
         bias = weight[""]
         values: dict[str, tuple[str, ...]] = {}
