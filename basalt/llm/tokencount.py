@@ -15,7 +15,7 @@ SPACE = "▁"
 #: Characters of a chunk; the chunks of a longer text are mapped apart and their maps composed.
 CHUNK = 65_536
 #: States, characters of words, and pairs of tokens, that a worker keeps before it starts anew.
-MAX_STATES, MAX_CHARS, MAX_PAIRS = 250_000, 12_000_000, 400_000
+MAX_STATES, MAX_CHARS, MAX_PAIRS = 400_000, 36_000_000, 600_000
 #: Tokens above which a text is over the limit.
 LIMIT = 4096
 
