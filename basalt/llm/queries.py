@@ -9,12 +9,14 @@ import public_tokenizers as tokenizers
 from basalt.llm.bpe import bpe_report
 from basalt.llm.chat import ROTATE_SQL, rotate
 from basalt.llm.common import table
+from basalt.llm.divergence import AUDIT_SQL, divergence_audit
 from basalt.llm.html import extract
 from basalt.llm.itq import embedding_groups
 from basalt.llm.lines import line_report
 from basalt.llm.mixing import mix_report
 from basalt.llm.rabitq import search
 from basalt.llm.simhash import simhash_groups
+from basalt.llm.suffixes import REPORT_SQL, contamination_report
 from basalt.llm.tokencount import token_counts
 from basalt.llm.toxicity import toxicity_scores
 
@@ -59,6 +61,14 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(table(spark, sf_dir, "documents"))
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence_audit(table(spark, sf_dir, "documents"))
+
+
+def op13_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_itq": op1_itq,
     "op2_simhash": op2_simhash,
@@ -70,6 +80,8 @@ QUERIES = {
     "op8_rabitq": op8_rabitq,
     "op9_chat": op9_chat,
     "op10_mixing": op10_mixing,
+    "op11_divergence": op11_divergence,
+    "op13_suffixes": op13_suffixes,
 }
 
-ORACLE_SQL: dict[str, str] = {"op9_chat": ROTATE_SQL}
+ORACLE_SQL: dict[str, str] = {"op9_chat": ROTATE_SQL, "op11_divergence": AUDIT_SQL, "op13_suffixes": REPORT_SQL}
