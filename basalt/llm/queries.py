@@ -12,6 +12,7 @@ from basalt.llm.common import table
 from basalt.llm.divergence import AUDIT_SQL, divergence_audit
 from basalt.llm.html import extract
 from basalt.llm.itq import embedding_groups
+from basalt.llm.lexical import SEARCH_SQL, ranked_search
 from basalt.llm.lines import line_report
 from basalt.llm.mixing import mix_report
 from basalt.llm.rabitq import search
@@ -65,6 +66,10 @@ def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence_audit(table(spark, sf_dir, "documents"))
 
 
+def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -81,7 +86,8 @@ QUERIES = {
     "op9_chat": op9_chat,
     "op10_mixing": op10_mixing,
     "op11_divergence": op11_divergence,
+    "op12_lexical": op12_lexical,
     "op13_suffixes": op13_suffixes,
 }
 
-ORACLE_SQL: dict[str, str] = {"op9_chat": ROTATE_SQL, "op11_divergence": AUDIT_SQL, "op13_suffixes": REPORT_SQL}
+ORACLE_SQL: dict[str, str] = {"op9_chat": ROTATE_SQL, "op11_divergence": AUDIT_SQL, "op12_lexical": SEARCH_SQL, "op13_suffixes": REPORT_SQL}
