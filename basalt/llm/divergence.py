@@ -187,13 +187,21 @@ def divergence_audit(docs: DataFrame) -> DataFrame:
     """
     found = cut(postings(docs))
     marker = F.col("term") == F.lit(b"")
-    langs = found.groupBy("lang").agg(
-        F.sum("n").alias("lang_n"), F.sum(F.when(F.col("first") & ~marker, 1).otherwise(0)).alias("v"), F.sum(marker.cast("long")).alias("sources")
+    heavy = (F.col("groups") > LIGHT_GROUPS) | (2 * F.col("groups") > F.col("sources"))
+    # A language's empty term is held by all its groups: it tells their number.
+    kinds = found.where("first").groupBy("lang", "groups").agg(
+        F.sum(F.when(~marker, 1).otherwise(0)).alias("k"), F.sum("total").alias("n"), F.max(F.when(marker, F.col("groups"))).alias("all")
+    )
+    langs = (
+        kinds.withColumn("sources", F.max("all").over(W.partitionBy("lang")))
+        .groupBy("lang", "sources")
+        .agg(F.sum("n").alias("lang_n"), F.sum("k").alias("v"), F.sum(F.when(heavy, F.col("k")).otherwise(0)).alias("n_heavy"))
     )
     sums = found.groupBy("lang", "source").agg(F.sum("n").alias("own_n"))
+    # Written, so that its size is known before it is joined: a row for each group.
     groups = cut(
         sums.join(langs, "lang").select(
-            "lang", "source", "lang_n", "v", "sources",
+            "lang", "source", "lang_n", "v", "sources", "n_heavy",
             (F.row_number().over(W.partitionBy("lang").orderBy("source")) - 1).cast("long").alias("g"),
             (F.col("own_n") + F.col("v")).alias("size"),
             F.when(F.col("v") > 0, probability(F.lit(0), F.col("own_n") + F.col("v"))).otherwise(1).cast("long").alias("base"),
@@ -203,7 +211,7 @@ def divergence_audit(docs: DataFrame) -> DataFrame:
         found.where(~marker)
         .join(groups, ["lang", "source"])
         .withColumn("p", probability(F.col("n"), F.col("size")).cast("long"))
-        .withColumn("heavy", (F.col("groups") > LIGHT_GROUPS) | (2 * F.col("groups") > F.col("sources")))
+        .withColumn("heavy", heavy)
     )
 
     q = probability(F.col("total"), F.col("lang_n") + F.col("v")).cast("long")
@@ -222,8 +230,6 @@ def divergence_audit(docs: DataFrame) -> DataFrame:
 def group_sums(terms: DataFrame, groups: DataFrame) -> DataFrame:
     """Rows (lang, g, h, value): the whole sums, light parts and dense tiles together."""
     heavy, light = terms.where("heavy"), terms.where("not heavy")
-    n_heavy = heavy.where("first").groupBy("lang").agg(F.count("*").alias("n_heavy"))
-    sized = groups.join(n_heavy, "lang", "left").na.fill(0, ["n_heavy"])
     other = groups.select("lang", F.col("g").alias("h"), F.col("base").alias("other"))
     exact = lambda x: x.cast("decimal(38,0)")
 
@@ -250,9 +256,9 @@ def group_sums(terms: DataFrame, groups: DataFrame) -> DataFrame:
     blocks = F.sequence(F.lit(0).cast("long"), block(F.col("sources") - 1))
     chunks = F.ceil(F.col("n_heavy") / TILE_TERMS).cast("long")
     own = block(F.col("g"))
-    cells = heavy.join(n_heavy, "lang").select("lang", "g", "term", "p", own.alias("own"), F.pmod(F.xxhash64("term"), chunks).alias("chunk"), F.explode(blocks).alias("other"))
+    cells = heavy.select("lang", "g", "term", "p", own.alias("own"), F.pmod(F.xxhash64("term"), chunks).alias("chunk"), F.explode(blocks).alias("other"))
     edges = (
-        sized.where("n_heavy > 0")
+        groups.where("n_heavy > 0")
         .select("lang", "g", F.lit(None).cast("binary").alias("term"), F.col("base").alias("p"), own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)).alias("chunk"), blocks.alias("others"))
         .select("lang", "g", "term", "p", "own", "chunk", F.explode("others").alias("other"))
     )
