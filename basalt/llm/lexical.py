@@ -34,7 +34,9 @@ NEAREST = 20
 #: of the sample that a term is in at least, and levels of the tree.
 SAMPLE, SAMPLE_TERMS, SAMPLE_DOCS, LEVELS = 8192, 64, 4, 5
 #: Documents of a group that is bisected in full, about; its postings at most but for one document.
-GROUP_DOCS, GROUP_POSTINGS = 4096, 1 << 21
+GROUP_DOCS, GROUP_POSTINGS = 4096, 1 << 20
+#: Rows that a task turns into Python objects at once.
+STRIP = 1024
 #: Documents of a shard at most, and rounds of exchanges at each level of a bisection.
 SHARD_DOCS, ROUNDS = 256, 4
 #: Shards that every query is asked of first, to learn how good a result must be.
@@ -95,30 +97,43 @@ def bisect(doc: np.ndarray, term: np.ndarray, n_docs: int, n_terms: int, levels:
         pairs = middle - start
         one = np.arange(int(pairs.sum())) - np.repeat(np.cumsum(pairs) - pairs, pairs) + np.repeat(start, pairs)
         two = one + np.repeat(pairs, pairs)
-        log_left, log_right = np.log2(np.maximum(middle - start, 1)), np.log2(np.maximum(stop - middle, 1))
+        log_left, log_right = np.log2(np.maximum(pairs, 1)), np.log2(np.maximum(stop - middle, 1))
         at, right = np.empty(n_docs, np.int64), np.empty(n_docs, bool)
+        at[order] = part
+        # Documents stay in their part for all rounds of a level: so do the degrees' places. A term
+        # that one document of the part has costs as much on either side.
+        keys, cell, whole = np.unique(at[doc] * n_terms + term, return_inverse=True, return_counts=True)
+        shared = whole > 1
+        live = shared[cell]
+        seats = np.cumsum(shared) - 1
+        own, cell, keys, whole = doc[live], seats[cell[live]], keys[shared], whole[shared]
+        log_left, log_right = log_left[keys // n_terms], log_right[keys // n_terms]
+        cost = lambda d, log_n: d * (log_n - np.log2(d + 1.0))
         for turn in range(rounds + 1):
-            at[order], right[order] = part, side
-            key = at[doc] * n_terms + term
-            on_right = right[doc]
-            whole = np.bincount(key, minlength=parts * n_terms)
-            r = np.bincount(key[on_right], minlength=parts * n_terms)
+            right[order] = side
+            on_right = right[own]
+            r = np.bincount(cell[on_right], minlength=len(keys))
             left = whole - r
             if turn == rounds:
                 break
-            cost = lambda d, log_n: d * (np.repeat(log_n, n_terms) - np.log2(d + 1.0))
             now = cost(left, log_left) + cost(r, log_right)
             to_right = now - cost(np.maximum(left - 1, 0), log_left) - cost(r + 1, log_right)
             to_left = now - cost(left + 1, log_left) - cost(np.maximum(r - 1, 0), log_right)
-            gain = np.bincount(doc, np.where(on_right, to_left[key], to_right[key]), n_docs)
+            gain = np.bincount(own, np.where(on_right, to_left[cell], to_right[cell]), n_docs)
             order = order[np.lexsort((-gain[order], side, part))]
             swap = gain[order[one]] + gain[order[two]] > 1e-9
             a, b = one[swap], two[swap]
             order[a], order[b] = order[b], order[a]
             if not len(a):
                 break
-        voices.append(np.log2((r + 1.0) / (left + 1.0)).astype(np.float32).reshape(parts, n_terms))
-        borders = np.unique(np.concatenate([start, middle, [n_docs]])) if levels is None else np.append(np.stack([start, middle], 1).reshape(-1), n_docs)
+        if levels is None:
+            voices.append(None)
+            borders = np.unique(np.concatenate([start, middle, [n_docs]]))
+        else:
+            voice = np.zeros(parts * n_terms, np.float32)
+            voice[keys] = np.log2((r + 1.0) / (left + 1.0))
+            voices.append(voice.reshape(parts, n_terms))
+            borders = np.append(np.stack([start, middle], 1).reshape(-1), n_docs)
     return order, borders, voices
 
 
@@ -155,11 +170,14 @@ class Tree:
 
     def leaves(self, rows: list[list[bytes]]) -> np.ndarray:
         """The leaf that each row's terms lead to."""
-        doc, term = _edges(rows, self.numbers)
-        at = np.zeros(len(rows), np.int64)
-        for voice in self.voices:
-            at = 2 * at + (np.bincount(doc, voice[at[doc], term], len(rows)) >= 0)
-        return at
+        leaves = [np.zeros(0, np.int64)]
+        for k in range(0, len(rows), STRIP):
+            doc, term = _edges(rows[k : k + STRIP], self.numbers)
+            at = np.zeros(len(rows[k : k + STRIP]), np.int64)
+            for voice in self.voices:
+                at = 2 * at + (np.bincount(doc, voice[at[doc], term], len(at)) >= 0)
+            leaves.append(at)
+        return np.concatenate(leaves)
 
     def pack(self) -> bytes:
         out = io.BytesIO()
@@ -242,8 +260,10 @@ def build_index(docs: DataFrame) -> Index:
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = Tree.unpack(packed.value)
         for batch in batches:
-            leaves = held.leaves([t.split() for t in batch.column(2).to_pylist()])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaves, pa.int32())], names=[*batch.schema.names, "leaf"])
+            for k in range(0, batch.num_rows, STRIP):
+                part = batch.slice(k, STRIP)
+                leaves = held.leaves([t.split() for t in part.column(2).to_pylist()])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(leaves, pa.int32())], names=[*part.schema.names, "leaf"])
 
     routed = forward.mapInArrow(route, "doc_id long, n long, terms binary, tf binary, leaf int")
     salt = F.pmod(F.xxhash64("doc_id", "n", F.lit(7)), F.element_at(F.array(*map(F.lit, salts)), F.col("leaf") + 1))
@@ -259,7 +279,7 @@ def build_index(docs: DataFrame) -> Index:
             part += 1
             held.clear()
 
-        for batch in batches:
+        for batch in (whole.slice(k, STRIP) for whole in batches for k in range(0, whole.num_rows, STRIP)):
             for doc, n, terms, tf, leaf, salted in zip(*(c.to_pylist() for c in batch.columns)):
                 if (leaf, salted) != group or len(held) >= 2 * GROUP_DOCS or size >= GROUP_POSTINGS:
                     yield from flush()
