@@ -34,7 +34,7 @@ NEAREST = 20
 #: of the sample that a term is in at least, and levels of the tree.
 SAMPLE, SAMPLE_TERMS, SAMPLE_DOCS, LEVELS = 8192, 64, 4, 5
 #: Documents of a group that is bisected in full, about; its postings at most but for one document.
-GROUP_DOCS, GROUP_POSTINGS = 4096, 1 << 20
+GROUP_DOCS, GROUP_POSTINGS = 2048, 1 << 19
 #: Rows that a task turns into Python objects at once.
 STRIP = 1024
 #: Documents of a shard at most, and rounds of exchanges at each level of a bisection.
@@ -59,16 +59,17 @@ def term_counts(text: bytes) -> Counter:
 
 def forward_rows(docs: DataFrame) -> DataFrame:
     """Rows (doc_id, n, terms, tf) of the documents with terms: their number with repeats, the
-    different terms joined by spaces, and how often each occurs as 64-bit integers."""
+    different terms joined by spaces, and how often each occurs as 32-bit integers (a text has fewer
+    than 2**31 bytes)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(k, STRIP) for whole in batches for k in range(0, whole.num_rows, STRIP)):
             ids, sizes, terms, counts = [], [], [], []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 if found := term_counts(text.as_py()):
                     ids.append(doc)
-                    tf = np.fromiter(found.values(), np.int64, len(found))
-                    sizes.append(int(tf.sum()))
+                    tf = np.fromiter(found.values(), np.int32, len(found))
+                    sizes.append(found.total())
                     terms.append(b" ".join(found))
                     counts.append(tf.tobytes())
             yield pa.RecordBatch.from_pydict({"doc_id": pa.array(ids, pa.int64()), "n": pa.array(sizes, pa.int64()), "terms": pa.array(terms, pa.binary()), "tf": pa.array(counts, pa.binary())})
@@ -204,16 +205,18 @@ def fit_tree(forward: DataFrame) -> Tree:
 # -- Index -----------------------------------------------------------------------------------
 
 
-def shard_rows(rows: list[tuple[int | None, int, list[bytes], np.ndarray]], name: str, n_docs: int, n_words: int) -> Iterator[dict]:
-    """The shards of one group of documents (id, n, terms, tf)."""
-    numbers: dict[bytes, int] = {}
-    for _, _, terms, _ in rows:
-        for t in terms:
-            numbers.setdefault(t, len(numbers))
-    doc, term = _edges([r[2] for r in rows], numbers)
-    tf = np.concatenate([r[3] for r in rows])
+def numbered(terms: list[bytes], numbers: dict[bytes, int]) -> np.ndarray:
+    """The numbers of ``terms``, new ones given to those that have none yet."""
+    return np.fromiter((numbers.setdefault(t, len(numbers)) for t in terms), np.int32, len(terms))
+
+
+def shard_rows(rows: list[tuple[int | None, int, np.ndarray, np.ndarray]], numbers: dict[bytes, int], name: str, n_docs: int, n_words: int) -> Iterator[dict]:
+    """The shards of one group of documents (id, n, numbers of the terms, tf)."""
+    doc = np.repeat(np.arange(len(rows)), [len(r[2]) for r in rows])
+    term, tf = (np.concatenate([r[k] for r in rows]).astype(np.int64) for k in (2, 3))
     m = np.array([75 + 25 * n * n_docs // n_words for _, n, _, _ in rows], np.int64)
     impact = 1_000_000_000 * tf // (1000 * tf + 12 * m[doc])
+    del tf
     order, borders, _ = bisect(doc, term, len(rows), len(numbers), None, SHARD_DOCS)
     place = np.empty(len(rows), np.int64)
     place[order] = np.arange(len(rows))
@@ -270,22 +273,23 @@ def build_index(docs: DataFrame) -> Index:
     dealt = routed.withColumn("salt", salt.cast("int")).repartition("leaf", "salt").sortWithinPartitions("leaf", "salt", "doc_id")
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, group, part = [], 0, None, 0
+        held, numbers, size, group, part = [], {}, 0, None, 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             nonlocal part
-            for row in shard_rows(held, f"{group[0]}-{group[1]}-{part}", n_docs, n_words) if held else ():
+            for row in shard_rows(held, numbers, f"{group[0]}-{group[1]}-{part}", n_docs, n_words) if held else ():
                 yield pa.RecordBatch.from_pylist([row], _ARROW_INDEX)
             part += 1
             held.clear()
+            numbers.clear()
 
         for batch in (whole.slice(k, STRIP) for whole in batches for k in range(0, whole.num_rows, STRIP)):
             for doc, n, terms, tf, leaf, salted in zip(*(c.to_pylist() for c in batch.columns)):
                 if (leaf, salted) != group or len(held) >= 2 * GROUP_DOCS or size >= GROUP_POSTINGS:
                     yield from flush()
                     part, group, size = (part if group == (leaf, salted) else 0), (leaf, salted), 0
-                held.append((doc, n, terms.split(), np.frombuffer(tf, np.int64)))
-                size += len(tf) // 8
+                held.append((doc, n, numbered(terms.split(), numbers), np.frombuffer(tf, np.int32)))
+                size += len(tf) // 4
         yield from flush()
 
     return Index(cut(dealt.mapInArrow(build, INDEX)), n_docs, n_words)

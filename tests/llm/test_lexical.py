@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 
 from basalt.llm import lexical
-from basalt.llm.lexical import Queries, Shard, Tree, bisect, build_index, ranked_search, shard_rows, visit
+from basalt.llm.lexical import Queries, Shard, Tree, bisect, build_index, numbered, ranked_search, shard_rows, visit
 
 DOCS = "doc_id long, text string, n long, terms string, shard string, leaf string"
 ITEMS = "item_id string, text string, query int"
@@ -100,10 +100,11 @@ def test_shards_out_of_reach_are_not_visited_and_none_is_missed():
     held = [(d, t) for d, t in docs if terms(t) and d is not None]
     counted = [Counter(terms(t)) for _, t in held]
     n, total = len(held), sum(sum(c.values()) for c in counted)
-    group = [(d, sum(c.values()), [t.encode() for t in c], np.array(list(c.values()), np.int64)) for (d, _), c in zip(held, counted)]
+    numbers = {}
+    group = [(d, sum(c.values()), numbered([t.encode() for t in c], numbers), np.array(list(c.values()), np.int32)) for (d, _), c in zip(held, counted)]
     lexical_docs, lexical.SHARD_DOCS = lexical.SHARD_DOCS, 16
     try:
-        rows = list(shard_rows(group, "g", n, total))
+        rows = list(shard_rows(group, numbers, "g", n, total))
     finally:
         lexical.SHARD_DOCS = lexical_docs
     texts = [(name, t) for name, t in items if t]
