@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from basalt.operators.ranking import rank_and_select
+
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The first row of each key; end ``order`` in something unique."""
@@ -29,17 +31,18 @@ def top_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int) ->
 
 
 def rank_select(df: DataFrame, order: list[Column], n: int, disqualified: Column, run: list[str] | None = None) -> DataFrame:
-    """Rank all rows of a run; the first ``n`` not disqualified are selected. A disqualified row
-    keeps its rank and its slot passes on."""
-    window = W.partitionBy(*(run or [])).orderBy(*order)
+    """Rank all rows of a run, or of the table if no run is named; the first ``n`` not disqualified
+    are selected. A disqualified row keeps its rank and its slot passes on."""
+    if not run:
+        return rank_and_select(df, order, n, disqualified)
+    window = W.partitionBy(*run).orderBy(*order)
     out = F.coalesce(disqualified, F.lit(False))
     taken = F.sum((~out).cast("int")).over(window.rowsBetween(W.unboundedPreceding, 0))
     return df.withColumn("rank", F.row_number().over(window).cast("long")).withColumn("selected", ~out & (taken <= n))
 
 
 def select_top(df: DataFrame, order: list[Column], n: int, disqualified: Column) -> DataFrame:
-    """Only the selected rows of ``rank_select``, without ranking all rows in one task: each task
-    keeps its first ``n``."""
+    """Only the selected rows of ``rank_select``, without ranks: each task keeps its first ``n``."""
     return df.where(~F.coalesce(disqualified, F.lit(False))).orderBy(*order).limit(n)
 
 

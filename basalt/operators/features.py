@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from basalt.functions.scalar import as_float, first_present
 from basalt.operators.best import first_per_key
+from basalt.operators.keyed import once, refuse, repeated
 
 
 def role_bindings(subsystems: DataFrame) -> DataFrame:
@@ -31,9 +33,10 @@ def specialty_arrays(features: DataFrame, specialty: DataFrame, kmers: DataFrame
 
 def overwrite_known(rows: DataFrame, key: str, metadata: DataFrame) -> DataFrame:
     """Rows with the metadata's values where it knows any, matched on the upper-cased key; an
-    unmatched row keeps its own. The metadata's keys are unique."""
-    side = metadata.select(F.upper(key).alias("_key"), *(F.col(c).alias(f"_new_{c}") for c in metadata.columns if c != key))
-    joined = rows.join(side, F.upper(rows[key]) == side["_key"], "left")
+    unmatched row keeps its own. Two metadata rows of one key, case aside, are an error for the
+    rows that meet them."""
+    side = once(metadata.select(*(c for c in metadata.columns if c != key), F.col(key).alias("_id")), F.upper("_id"), "_new_")
+    joined = refuse(rows.join(side, F.upper(rows[key]) == side["_new_key"], "left"), repeated("_new_"))
     fresh = [c for c in metadata.columns if c != key]
     kept = [F.coalesce(f"_new_{c}", c).alias(c) if c in fresh else F.col(c) for c in rows.columns]
     return joined.select(*kept, *(F.col(f"_new_{c}").alias(c) for c in fresh if c not in rows.columns))
@@ -57,12 +60,14 @@ def sequences_by_checksum(wanted: DataFrame, features: DataFrame, sequences: Dat
 
 def lookup_by_hint(rows: DataFrame, species: str, knowledge: DataFrame, columns: list[str]) -> DataFrame:
     """Rows with the knowledge of their species, or else of their genus; ``hint`` tells which.
-    ``knowledge`` has a unique ``name``, of a species or a genus."""
-    side = lambda n: knowledge.select(F.lower("name").alias(f"_name{n}"), *(F.col(c).alias(f"_{c}{n}") for c in columns))
-    one, two = side(1), side(2)
-    joined = rows.join(one, F.lower(rows[species]) == one["_name1"], "left").join(two, F.lower(F.split_part(rows[species], F.lit(" "), F.lit(1))) == two["_name2"], "left")
-    hint = F.when(F.col("_name1").isNotNull(), "species").when(F.col("_name2").isNotNull(), "genus")
-    return joined.select(*rows.columns, *(F.when(F.col("_name1").isNotNull(), F.col(f"_{c}1")).otherwise(F.col(f"_{c}2")).alias(c) for c in columns), hint.alias("hint"))
+    ``knowledge`` has a ``name``, of a species or a genus; a name that it has twice, case aside, is
+    an error for the rows that meet it."""
+    side = lambda n: once(knowledge.select("name", *columns), F.lower("name"), f"_{n}_")
+    one, two = side("s"), side("g")
+    joined = refuse(rows.join(one, F.lower(rows[species]) == one["_s_key"], "left"), repeated("_s_"))
+    joined = refuse(joined.join(two, F.lower(F.split_part(joined[species], F.lit(" "), F.lit(1))) == two["_g_key"], "left"), F.when(F.col("_s_key").isNull(), repeated("_g_")))
+    hint = F.when(F.col("_s_key").isNotNull(), "species").when(F.col("_g_key").isNotNull(), "genus")
+    return joined.select(*rows.columns, *(F.when(F.col("_s_key").isNotNull(), F.col(f"_s_{c}")).otherwise(F.col(f"_g_{c}")).alias(c) for c in columns), hint.alias("hint"))
 
 
 def verified_targets(targets: DataFrame) -> DataFrame:
@@ -117,6 +122,10 @@ def receptor_atoms(lines: DataFrame, chains: tuple[str, ...] = ()) -> DataFrame:
 
 
 def view_top(ranked: DataFrame, n: int) -> DataFrame:
-    """The first ``n`` selected rows by rank, or of all rows where none is selected."""
-    some = ranked.agg(F.max(F.col("selected").cast("int")).alias("_some"))
-    return ranked.join(some).where(F.col("selected") | (F.coalesce("_some", F.lit(0)) == 0)).drop("_some").orderBy("rank").limit(n)
+    """The first ``n`` selected rows by rank, or of all rows where none is selected: each task keeps
+    its first ``n`` of either kind, so the ranking is read once."""
+    first = lambda df: df.orderBy("rank").limit(n)
+    few = first(ranked.where("selected")).unionByName(first(ranked.where("not coalesce(selected, false)")))
+    # At most 2 n rows: they fit where one window over all of them runs.
+    kinds = few.withColumn("_some", F.coalesce(F.max(F.col("selected").cast("int")).over(W.partitionBy(F.lit(0))), F.lit(0)))
+    return kinds.where(F.col("selected") | (F.col("_some") == 0)).drop("_some").orderBy("rank").limit(n)

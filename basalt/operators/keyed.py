@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basalt.operators.best import first_per_key
@@ -14,20 +14,36 @@ def orphans(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return a.join(b, key, "left_anti").withColumn("side", F.lit("left")).unionByName(b.join(a, key, "left_anti").withColumn("side", F.lit("right")))
 
 
+def refuse(df: DataFrame, reason: Column) -> DataFrame:
+    """``df`` as it is; any row with a reason fails the job. The test is a filter, which stays in
+    the plan whatever columns are asked for, a bare count included."""
+    return df.where(F.when(reason.isNotNull(), F.raise_error(reason).cast("boolean")).otherwise(True))
+
+
+def once(df: DataFrame, key: Column, mark: str) -> DataFrame:
+    """One row for each known key: ``{mark}key``, the row's columns as ``{mark}<name>``, and
+    ``{mark}times``, how many rows have the key."""
+    rows = df.where(key.isNotNull()).groupBy(key.alias(f"{mark}key"))
+    return rows.agg(F.count("*").alias(f"{mark}times"), F.first(F.struct(*(F.col(c).alias(f"{mark}{c}") for c in df.columns))).alias("_row")).select(f"{mark}key", f"{mark}times", "_row.*")
+
+
+def repeated(mark: str) -> Column:
+    """A reason to refuse a row of ``once`` whose key more rows have."""
+    return F.when(F.col(f"{mark}times") > 1, F.concat(F.lit("repeated key "), F.col(f"{mark}key").cast("string")))
+
+
 def keyed_merge(base: DataFrame, update: DataFrame, key: str, append: tuple[str, ...] = ()) -> DataFrame:
     """Merge ``update`` into ``base``: arrays named in ``append`` grow, other columns that the
-    update has are replaced where it knows a value. An unknown key is an error, and so is a key
-    that the update has twice."""
+    update has are replaced where it knows a value. An unknown key is an error, a null one too,
+    and so is a key that the update has twice, whatever is read of the result."""
     new = [F.first(F.col(c)).alias(f"_new_{c}") for c in update.columns if c != key]
     fresh = update.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_times"), *new).withColumn("_given", F.lit(True))
     joined = base.withColumn("_known", F.lit(True)).join(fresh, base[key] == fresh["_key"], "full")
     shown = F.coalesce(F.col("_key").cast("string"), F.lit("null"))
-    refused = F.when(F.col("_given") & F.col("_known").isNull(), F.concat(F.lit("unknown key "), shown)).when(F.col("_times") > 1, F.concat(F.lit("repeated key "), shown))
+    joined = refuse(joined, F.when(F.col("_given") & F.col("_known").isNull(), F.concat(F.lit("unknown key "), shown)).when(F.col("_times") > 1, F.concat(F.lit("repeated key "), shown)))
     out = []
     for c in base.columns:
-        if c == key:
-            out.append(F.when(refused.isNotNull(), F.raise_error(refused)).otherwise(F.col(c)).alias(c))
-        elif f"_new_{c}" not in joined.columns:
+        if c == key or f"_new_{c}" not in joined.columns:
             out.append(F.col(c))
         elif c in append:
             empty = F.array().cast(base.schema[c].dataType)
@@ -48,12 +64,13 @@ def alias_join(rows: DataFrame, aliases: str, lookup: DataFrame, name: str, key:
 
 def crosswalk(rows: DataFrame, key: str, routes: list[tuple[str, DataFrame, str, str]]) -> DataFrame:
     """Map keys through ordered routes (name, table, join column, target column): the first that
-    knows the row wins, and its name is kept. Each table must have unique join values."""
+    knows the row wins, and its name is kept. A join value that a table has twice is an error for
+    the rows that meet it."""
     joined, targets = rows, []
     for i, (_, table, on, target) in enumerate(routes):
-        side = table.select(F.col(on).alias(f"_on{i}"), F.col(target).alias(f"_to{i}"))
-        joined = joined.join(side, joined[on] == side[f"_on{i}"], "left")
-        targets.append(f"_to{i}")
+        side = once(table.select(F.col(on).alias("on"), F.col(target).alias("to")), F.col("on"), f"_{i}_")
+        joined = refuse(joined.join(side, joined[on] == side[f"_{i}_key"], "left"), repeated(f"_{i}_"))
+        targets.append(f"_{i}_to")
     route = F.coalesce(*(F.when(F.col(t).isNotNull(), name) for t, (name, *_) in zip(targets, routes)), F.lit("unmapped"))
     return joined.select(*rows.columns, F.coalesce(*targets).alias("target"), route.alias("route"))
 
