@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,30 +25,32 @@ def stops(c: Column) -> Column:
     return F.regexp_count(c, F.lit(r"\*"))
 
 
-def _scale() -> Column:
-    return F.create_map(*(F.lit(x) for pair in HYDROPATHY.items() for x in pair))
+_TENTHS = np.zeros(256, np.int64)
+for _letter, _value in HYDROPATHY.items():
+    _TENTHS[ord(_letter)] = round(_value * 10)
+
+
+def hydrophobic_spans(sequence: str, window: int = WINDOW, threshold: float = THRESHOLD, core: int = CORE) -> list[tuple[int, int]]:
+    """(start, end) of the hydrophobic cores of one sequence, one-based: a window above the threshold
+    speaks for its centre, centres in a row form a span. Running sums, so that a residue is touched
+    a fixed number of times whatever the window's width; letters beyond the scale count zero."""
+    letters = np.frombuffer(sequence.encode("latin-1", "replace"), np.uint8)
+    if len(letters) < window:
+        return []
+    sums = np.concatenate([[0], np.cumsum(_TENTHS[letters])])
+    hit = sums[window:] - sums[:-window] >= round(threshold * 10 * window, 6)
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], hit.view(np.int8), [0]]))).reshape(-1, 2)
+    return [(int(a) + window // 2 + 1, int(b) + window // 2) for a, b in edges if b - a >= core]
 
 
 def membrane_spans(df: DataFrame, sequence: str = "sequence", window: int = WINDOW, threshold: float = THRESHOLD, core: int = CORE) -> DataFrame:
-    """``df`` with ``spans``: array of (start, end), one-based, of hydrophobic cores.
-
-    A window above the threshold speaks for its centre; centres in a row form a span, and short
-    spans are dropped. Running sums give each window its mean, so a residue is touched a fixed
-    number of times whatever the window's width.
-    """
-    tenths = F.transform(F.split(F.col(sequence), ""), lambda x: F.coalesce(F.round(F.try_element_at(_scale(), x) * 10).cast("int"), F.lit(0)))
-    half = window // 2
-    summed = df.withColumn("_kd", F.filter(tenths, lambda x: x.isNotNull())).withColumn(
-        "_sum", F.aggregate("_kd", F.array(F.lit(0)), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)))
-    )
-    last = F.size("_kd") - window
-    starts = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
-    passing = summed.withColumn("_hit", F.filter(starts, lambda i: F.get("_sum", i + window) - F.get("_sum", i) >= round(threshold * 10 * window, 6)))
-    heads = F.filter("_hit", lambda x, i: (i == 0) | (F.get("_hit", i - 1) != x - 1))
-    tails = F.filter("_hit", lambda x, i: (i == F.size("_hit") - 1) | (F.get("_hit", i + 1) != x + 1))
-    runs = F.filter(F.arrays_zip(heads.alias("first"), tails.alias("last")), lambda r: r["last"] - r["first"] + 1 >= core)
-    spans = F.transform(runs, lambda r: F.struct((r["first"] + half + 1).alias("start"), (r["last"] + half + 1).alias("end")))
-    return passing.withColumn("spans", spans).drop("_kd", "_sum", "_hit")
+    """``df`` with ``spans``: array of (start, end) of ``hydrophobic_spans``; null without a sequence."""
+
+    @F.pandas_udf("array<struct<start: int, end: int>>")
+    def run(column: pd.Series) -> pd.Series:
+        return column.map(lambda s: None if s is None else [{"start": a, "end": b} for a, b in hydrophobic_spans(s, window, threshold, core)])
+
+    return df.withColumn("spans", run(F.col(sequence)))
 
 
 def _hydrophobic_core(s: str) -> tuple[int, int, float] | None:

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from basalt.functions.scalar import distance
 from basalt.operators.best import first_per_key
+from basalt.operators.selection import upper_median  # noqa: F401
+from basalt.operators.sets import jaccard_pairs  # noqa: F401
 
 
 def facet(df: DataFrame, value: str, least: int = 1, limit: int = 10) -> DataFrame:
@@ -24,16 +26,6 @@ def mode_quorum(df: DataFrame, keys: list[str], value: str, quorum: float = 0.5)
     return total.join(best, keys, "left").select(*keys, F.when(F.col("n") >= quorum * F.col("total"), F.col(value)).alias("mode"), F.coalesce("n", F.lit(0)).alias("n"), "total")
 
 
-def upper_median(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """The element at half the count of the sorted values: the upper one of two middles."""
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_here"))
-    total = counts.groupBy(*keys).agg(F.sum("_here").alias("n"))
-    # Only different values are put in order, so a key with very many rows costs their number.
-    upto = counts.withColumn("_upto", F.sum("_here").over(W.partitionBy(*keys).orderBy(value)))
-    placed = upto.join(total, keys).where("_upto - _here < n div 2 + 1 and _upto >= n div 2 + 1")
-    return placed.select(*keys, F.col(value).alias("median"), "n")
-
-
 def resistance_evidence(mechanism: Column, only_target: Column, rows: Column) -> Column:
     """1 if any row names a mechanism, 0 if all only name a target, else one half."""
     return F.when(F.max(mechanism.cast("int")) == 1, 1.0).when(F.min(only_target.cast("int")) == 1, 0.0).when(F.count(rows) > 0, 0.5).otherwise(0.0)
@@ -47,17 +39,6 @@ def islands(df: DataFrame, keys: list[str], position: str, inside: Column, value
     return runs.agg(F.min(position).alias("first"), F.max(position).alias("last"), F.count("*").alias("length"), F.avg(value).alias("mean")).drop("_island")
 
 
-def jaccard_pairs(df: DataFrame, group: str, member: str) -> DataFrame:
-    """Rows (a, b, shared, distance) of groups with a member in common, by an inverted join on
-    the members rather than a cross join of groups."""
-    sets = df.where(F.col(member).isNotNull()).select(group, member).distinct()
-    sizes = sets.groupBy(group).agg(F.count("*").alias("n"))
-    one, two = sets.select(F.col(group).alias("a"), member), sets.select(F.col(group).alias("b"), member)
-    shared = one.join(two, member).where("a < b").groupBy("a", "b").agg(F.count("*").alias("shared"))
-    with_sizes = shared.join(sizes.select(F.col(group).alias("a"), F.col("n").alias("na")), "a").join(sizes.select(F.col(group).alias("b"), F.col("n").alias("nb")), "b")
-    return with_sizes.select("a", "b", "shared", (1 - F.col("shared") / (F.col("na") + F.col("nb") - F.col("shared"))).alias("distance"))
-
-
 def contacts(left: DataFrame, right: DataFrame, structure: str, radius: float, axes: tuple[str, ...] = ("x", "y", "z")) -> DataFrame:
     """Pairs of points of one structure within ``radius``: right points are put in all cells
     around theirs, left ones in their own, and the join is on structure and cell."""

@@ -30,15 +30,15 @@ def top_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int) ->
     return df.withColumn("place", place.cast("long")).where(F.col("place") <= n)
 
 
-def rank_select(df: DataFrame, order: list[Column], n: int, disqualified: Column, run: list[str] | None = None) -> DataFrame:
+def rank_select(df: DataFrame, order: list[Column], n: int | None, disqualified: Column, run: list[str] | None = None) -> DataFrame:
     """Rank all rows of a run, or of the table if no run is named; the first ``n`` not disqualified
-    are selected. A disqualified row keeps its rank and its slot passes on."""
+    (no number: all of them) are selected. A disqualified row keeps its rank and its slot passes on."""
     if not run:
         return rank_and_select(df, order, n, disqualified)
     window = W.partitionBy(*run).orderBy(*order)
     out = F.coalesce(disqualified, F.lit(False))
     taken = F.sum((~out).cast("int")).over(window.rowsBetween(W.unboundedPreceding, 0))
-    return df.withColumn("rank", F.row_number().over(window).cast("long")).withColumn("selected", ~out & (taken <= n))
+    return df.withColumn("rank", F.row_number().over(window).cast("long")).withColumn("selected", ~out if n is None else ~out & (taken <= n))
 
 
 def select_top(df: DataFrame, order: list[Column], n: int, disqualified: Column) -> DataFrame:

@@ -32,11 +32,13 @@ def in_order(df: DataFrame, order: list[Column]) -> DataFrame:
     return held.withColumn("place", F.get(offsets, part.cast("int")) + F.col("place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)) + 1)
 
 
-def rank_and_select(df: DataFrame, order: list[Column], n: int, disqualified: Column) -> DataFrame:
-    """``rank`` of all rows and ``selected``, true for the first ``n`` not disqualified; a
-    disqualified row keeps its rank and its slot passes on. The slots end at the place of the
+def rank_and_select(df: DataFrame, order: list[Column], n: int | None, disqualified: Column) -> DataFrame:
+    """``rank`` of all rows and ``selected``, true for the first ``n`` not disqualified, or all of
+    them without a number; a disqualified row keeps its rank and its slot passes on. The slots end at the place of the
     ``n``-th such row, which every task finds among its own first ``n``."""
     out = F.coalesce(disqualified, F.lit(False))
     ranked = in_order(df.withColumn("_out", out), order).withColumnRenamed("place", "rank")
+    if n is None:
+        return ranked.withColumn("selected", ~F.col("_out")).drop("_out")
     last = ranked.where(~F.col("_out")).orderBy("rank").limit(n).agg(F.max("rank")).first()[0] or 0
     return ranked.withColumn("selected", ~F.col("_out") & (F.col("rank") <= last)).drop("_out")

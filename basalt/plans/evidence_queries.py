@@ -7,7 +7,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from basalt.functions import scalar as S
+from basalt.functions.sequence import membrane_spans
 from basalt.operators import best as B
+from basalt.operators import lineage as L
+from basalt.operators import trees as G
+from basalt.operators.naming import unique_ids
 from basalt.plans.queries import Tables, query
 
 # -- summaries -------------------------------------------------------------------------------
@@ -149,13 +153,56 @@ def set_operations(t: Tables) -> DataFrame:
     return named(one.intersect(two), "both").unionByName(named(one.exceptAll(two), "first")).unionByName(named(two.exceptAll(one), "second"))
 
 
-@query("""WITH RECURSIVE path AS (SELECT r_regionkey AS root, 'region' AS kind, r_name AS name, 0 AS depth, r_regionkey AS key FROM region
-UNION ALL SELECT root, 'nation', n_name, depth + 1, n_nationkey FROM path JOIN nation ON n_regionkey = key AND kind = 'region')
-SELECT root, repeat('  ', depth) || name AS line, depth FROM path""")
+_PLACES = """SELECT 'r' || r_regionkey AS node, CAST(NULL AS VARCHAR) AS parent, r_name AS name FROM region UNION ALL SELECT 'n' || n_nationkey, 'r' || n_regionkey, n_name FROM nation
+UNION ALL SELECT 'c' || c_custkey, 'n' || c_nationkey, c_name FROM customer UNION ALL SELECT 'o' || o_orderkey, 'c' || o_custkey, NULL FROM orders"""
+
+
+def places(t: Tables) -> DataFrame:
+    """A tree of four levels: regions, nations, customers and orders."""
+    row = lambda df, kind, key, up, above, name: df.select(F.concat(F.lit(kind), key).alias("node"), (F.concat(F.lit(up), above) if up else F.lit(None).cast("string")).alias("parent"), name.alias("name"))
+    one = row(t.region, "r", "r_regionkey", "", "", F.col("r_name")).unionByName(row(t.nation, "n", "n_nationkey", "r", "n_regionkey", F.col("n_name")))
+    two = row(t.customer, "c", "c_custkey", "n", "c_nationkey", F.col("c_name")).unionByName(row(t.orders, "o", "o_orderkey", "c", "o_custkey", F.lit(None).cast("string")))
+    return one.unionByName(two)
+
+
+@query(f"""WITH RECURSIVE p AS ({_PLACES}), path AS (SELECT node, coalesce(name, '') AS lineage, 0::BIGINT AS depth FROM p WHERE parent IS NULL
+UNION ALL SELECT p.node, lineage || ' > ' || coalesce(name, ''), depth + 1 FROM path JOIN p ON p.parent = path.node) SELECT * FROM path""")
 def lineage_lines(t: Tables) -> DataFrame:
-    top = t.region.select(F.col("r_regionkey").alias("root"), F.col("r_name").alias("line"), F.lit(0).alias("depth"))
-    below = t.nation.select(F.col("n_regionkey").alias("root"), F.concat(F.lit("  "), "n_name").alias("line"), F.lit(1).alias("depth"))
-    return top.unionByName(below)
+    return L.lineage_text(places(t), "node", "parent", "name")
+
+
+@query("""WITH w AS (SELECT o_orderkey, o_custkey, c_nationkey, n_regionkey FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey),
+s AS (SELECT DISTINCT s_nationkey FROM supplier WHERE s_acctbal > 5000), c AS (SELECT c_custkey FROM customer WHERE c_acctbal > 9000)
+SELECT node, level::BIGINT AS level, matched FROM (SELECT 'o' || o_orderkey AS node, CASE WHEN o_custkey IN (FROM c) THEN 1 WHEN c_nationkey IN (FROM s) THEN 2 WHEN n_regionkey = 1 THEN 3 END AS level,
+CASE WHEN o_custkey IN (FROM c) THEN 'c' || o_custkey WHEN c_nationkey IN (FROM s) THEN 'n' || c_nationkey WHEN n_regionkey = 1 THEN 'r1' END AS matched FROM w) WHERE level IS NOT NULL""")
+def nearest_level(t: Tables) -> DataFrame:
+    mark = lambda df, kind, key: df.select(F.concat(F.lit(kind), key).alias("place"))
+    evidence = mark(t.customer.where("c_acctbal > 9000"), "c", "c_custkey").unionByName(mark(t.supplier.where("s_acctbal > 5000"), "n", "s_nationkey")).unionByName(mark(t.region.where("r_regionkey = 1"), "r", "r_regionkey"))
+    asked = t.orders.select(F.concat(F.lit("o"), "o_orderkey").alias("node"))
+    return L.first_level(asked, places(t), "node", "parent", evidence, "place")
+
+
+@query("""SELECT p_partkey, CASE WHEN n = 1 THEN p_brand ELSE p_brand || '_' || n END AS unique_id FROM (SELECT p_partkey, p_brand, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS n FROM part)""")
+def unique_brands(t: Tables) -> DataFrame:
+    return unique_ids(t.part.select("p_partkey", "p_brand"), "p_brand", "p_partkey").select("p_partkey", "unique_id")
+
+
+@query("""WITH s AS (SELECT doc_id, upper(regexp_replace(coalesce(text, ''), '[^A-Za-z]', '', 'g')) AS s FROM documents), r AS (SELECT doc_id, i, CAST(round(10 * coalesce(
+map_extract(MAP {'A': 1.8, 'R': -4.5, 'N': -3.5, 'D': -3.5, 'C': 2.5, 'Q': -3.5, 'E': -3.5, 'G': -0.4, 'H': -3.2, 'I': 4.5, 'L': 3.8, 'K': -3.9, 'M': 1.9, 'F': 2.8, 'P': -1.6, 'S': -0.8, 'T': -0.7, 'W': -0.9, 'Y': -1.3, 'V': 4.2}, s[i])[1], 0)) AS BIGINT) AS h
+FROM (SELECT doc_id, s, unnest(range(1, len(s) + 1)) AS i FROM s)), w AS (SELECT doc_id, i, sum(h) OVER v AS total, count(*) OVER v AS n FROM r WINDOW v AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 9 PRECEDING AND 9 FOLLOWING)),
+g AS (SELECT doc_id, i, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k FROM w WHERE n = 19 AND total >= 304)
+SELECT doc_id, min(i)::INTEGER AS first, max(i)::INTEGER AS last FROM g GROUP BY doc_id, k HAVING count(*) >= 9""")
+def hydrophobic_runs(t: Tables) -> DataFrame:
+    letters = F.upper(F.regexp_replace(F.coalesce("text", F.lit("")), "[^A-Za-z]", ""))
+    found = membrane_spans(t.documents.select("doc_id", letters.alias("sequence")))
+    return found.select("doc_id", F.explode("spans").alias("x")).select("doc_id", F.col("x.start").alias("first"), F.col("x.end").alias("last"))
+
+
+@query()
+def gene_content_tree(t: Tables) -> DataFrame:
+    sold = t.lineitem.select("l_partkey", "l_suppkey").join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+    genomes = t.nation.select(F.col("n_nationkey").alias("node"), F.col("n_name").alias("species"), (F.col("n_nationkey") == 7).alias("is_query"), (F.col("n_regionkey") == 2).alias("human"), F.col("n_nationkey").alias("pos"))
+    return G.gene_content_tree(genomes, sold.select(F.col("s_nationkey").alias("node"), F.col("l_partkey").alias("family")))
 
 
 @query("""SELECT user_id, CAST(date_trunc('day', ts) AS TIMESTAMP) AS day, count(*) AS n, max(value) AS most FROM events GROUP BY 1, 2""")

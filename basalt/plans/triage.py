@@ -88,7 +88,7 @@ def priorities(features: DataFrame, flags: DataFrame, mechanisms: Column | None
     scored = joined.withColumn("breakdown", F.filter(given, lambda x: x.isNotNull()))
     scored = scored.withColumn("priority", F.aggregate("breakdown", F.lit(0), lambda s, x: s + x["points"]))
     chosen = has("virulence") | has("amr") | has("drug_target") | reasons["mechanism"]
-    return rank_select(scored.withColumn("eligible", chosen), [F.desc("priority"), F.desc("length"), F.col("pos")], 2**31, ~F.col("eligible"))
+    return rank_select(scored.withColumn("eligible", chosen), [F.desc("priority"), F.desc("length"), F.col("pos")], None, ~F.col("eligible"))
 
 
 def scored_hits(hits: DataFrame) -> DataFrame:

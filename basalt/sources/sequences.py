@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from basalt.operators.naming import unique_ids  # noqa: F401
+
 NUCLEOTIDES, LETTERS, LONG = r"^[ACGTUN]+$", r"^[A-Za-z*.\-]*$", 30
 
 
@@ -62,17 +64,6 @@ def fasta_stats(spark: SparkSession, path: str) -> DataFrame:
     return rows.agg(F.min_by("header", "pos").alias("first_header"), F.count("*").alias("n_sequences"), F.sum(F.length(F.regexp_replace("body", r"\s", ""))).alias("n_letters"))
 
 
-def unique_ids(df: DataFrame, column: str = "feature_id") -> DataFrame:
-    """Repeated ids get ``_2``, ``_3`` … ; an id that is taken already is passed over by a
-    further mark."""
-    place = F.row_number().over(W.partitionBy(column).orderBy("pos"))
-    taken = df.select(F.col(column).alias("_taken")).distinct()
-    wished = F.when(F.col("_n") == 1, F.col(column)).otherwise(F.concat_ws("_", F.col(column), F.col("_n").cast("string")))
-    named = df.withColumn("_n", place).withColumn("unique_id", wished)
-    clash = (F.col("_n") > 1) & F.col("_taken").isNotNull()
-    return named.join(taken, named["unique_id"] == taken["_taken"], "left").withColumn("unique_id", F.when(clash, F.concat("unique_id", F.lit("_dup"))).otherwise(F.col("unique_id"))).drop("_n", "_taken")
-
-
 def write_fasta(df: DataFrame, path: str, header: str = "feature_id", sequence: str = "sequence", width: int = 60) -> None:
     wrapped = F.regexp_replace(F.regexp_replace(F.col(sequence), f"(.{{{width}}})", "$1\n"), r"\n$", "")
     df.select(F.concat(F.lit(">"), F.col(header), F.lit("\n"), wrapped).alias("value")).write.mode("overwrite").text(path)

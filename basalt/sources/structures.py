@@ -83,17 +83,3 @@ def newick(spark: SparkSession, path: str) -> DataFrame:
 
     trees = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("path"), "value")
     return trees.mapInPandas(run, "path string, node_id int, parent_id int, name string, length double")
-
-
-def average_linkage(distances: dict[tuple[str, str], float], names: list[str]) -> str:
-    """Average-linkage tree, in Newick form, of the few genomes that a tree shows."""
-    trees = {n: (n, 1, 0.0) for n in names}
-    gaps = {frozenset(p): d for p, d in distances.items()}
-    while len(trees) > 1:
-        a, b = min(((x, y) for x in trees for y in trees if x < y), key=lambda p: (gaps.get(frozenset(p), 1.0), p))
-        (ta, na, ha), (tb, nb, hb) = trees.pop(a), trees.pop(b)
-        height = gaps.get(frozenset((a, b)), 1.0) / 2
-        for other in trees:
-            gaps[frozenset((a, other))] = (na * gaps.get(frozenset((a, other)), 1.0) + nb * gaps.get(frozenset((b, other)), 1.0)) / (na + nb)
-        trees[a] = (f"({ta}:{max(0.0, height - ha):.6f},{tb}:{max(0.0, height - hb):.6f})", na + nb, height)
-    return next(iter(trees.values()))[0] + ";" if trees else ";"

@@ -64,7 +64,6 @@ def test_structures_and_trees(spark, tmp_path):
     (tmp_path / "t.nwk").write_text("((a:1,b:2)0.9:0.5,'c d':3);")
     nodes = {r["name"]: (r["parent_id"], r["length"]) for r in X.newick(spark, str(tmp_path / "t.nwk")).collect()}
     assert nodes["a"][1] == 1.0 and nodes["c d"][1] == 3.0 and nodes["0.9"] == (0, 0.5)
-    assert X.average_linkage({("a", "b"): 0.2, ("a", "c"): 0.6, ("b", "c"): 0.8}, ["a", "b", "c"]) == "((a:0.100000,b:0.100000):0.250000,c:0.350000);"
 
 
 def test_sinks(spark, tmp_path):
