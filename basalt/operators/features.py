@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from basalt.functions.scalar import as_float, first_present
+from basalt.functions.scalar import as_float
 from basalt.operators.best import first_per_key
 from basalt.operators.keyed import once, refuse, repeated
 
@@ -75,16 +75,6 @@ def verified_targets(targets: DataFrame) -> DataFrame:
     return targets.withColumn("verified", F.coalesce(F.array_contains("components", F.col("accession")), F.lit(False)))
 
 
-def relatedness(genomes: DataFrame) -> DataFrame:
-    """One row: genomes in all, of the query's species and of its genus. ``genomes`` has taxon,
-    name, query_taxon and query_name."""
-    genus = lambda c: F.lower(F.split_part(F.col(c), F.lit(" "), F.lit(1)))
-    return genomes.agg(
-        F.count("*").alias("genomes"), F.count_if(F.col("taxon") == F.col("query_taxon")).alias("same_species"), F.count_if(genus("name") == genus("query_name")).alias("same_genus"),
-        F.count_distinct(first_present(F.col("genome_id"), F.col("name"))).alias("distinct_genomes"),
-    )
-
-
 def specialty_index(specialty: DataFrame, kind: Column) -> DataFrame:
     """Rows (feature_id, types, classes, properties, rows): what a feature's rows name, sorted."""
     names = lambda c: F.array_sort(F.collect_set(c))

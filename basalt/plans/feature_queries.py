@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from basalt.functions import rules as R
 from basalt.functions import scalar as S
 from basalt.operators import features as X
+from basalt.operators import organisms as O
+from basalt.plans import scoring as C
 from basalt.plans import structures as P
 from basalt.plans import triage as G
 from basalt.plans.queries import Tables, query
@@ -258,11 +260,104 @@ def verified_targets(t: Tables) -> DataFrame:
     return X.verified_targets(rows).select("o_orderkey", "verified")
 
 
-@query("""SELECT count(*) AS genomes, count(*) FILTER (WHERE p_size = 7) AS same_species, count(*) FILTER (WHERE split_part(p_name, ' ', 1) = 'red') AS same_genus,
-count(DISTINCT coalesce(CASE WHEN p_partkey % 2 = 0 THEN p_type END, p_name)) AS distinct_genomes FROM part""")
+_WORD = lambda c, k: f"regexp_replace(lower(split_part({c}, ' ', {k})), '[.,]+$', '')"
+_STEM = f"CAST(greatest(6, ceil(0.75 * least(length({_WORD('q.query', 1)}), length({_WORD('g.name', 1)})))) AS BIGINT)"
+
+
+@query(f"""WITH g AS (SELECT name, count(*) AS n FROM (SELECT coalesce(CASE WHEN p_partkey % 2 = 0 THEN p_type END, p_name || p_brand) AS genome, p_name || p_brand AS name FROM part
+QUALIFY row_number() OVER (PARTITION BY coalesce(CASE WHEN p_partkey % 2 = 0 THEN p_type END, p_name || p_brand) ORDER BY p_partkey) = 1) GROUP BY 1),
+q AS (SELECT DISTINCT CASE WHEN p_size = 1 THEN ' ' ELSE replace(p_name, 'medium', 'mediumx') END AS query FROM part), m AS (SELECT q.query, g.n, {_WORD("q.query", 2)} = {_WORD("g.name", 2)} AS one FROM q, g
+WHERE {_WORD("q.query", 1)} = {_WORD("g.name", 1)} AND {_WORD("q.query", 1)} <> '' OR (least(length({_WORD("q.query", 1)}), length({_WORD("g.name", 1)})) >= {_STEM} AND left({_WORD("q.query", 1)}, {_STEM}) = left({_WORD("g.name", 1)}, {_STEM})))
+SELECT query, query <> ' ' AS measured, CASE WHEN query <> ' ' THEN (SELECT sum(n) FROM g)::BIGINT END AS genomes, CASE WHEN query <> ' ' THEN coalesce(sum(n) FILTER (WHERE one), 0)::BIGINT END AS same_species,
+CASE WHEN query <> ' ' THEN coalesce(sum(n), 0)::BIGINT END AS same_genus FROM q LEFT JOIN m USING (query) GROUP BY 1""")
 def genome_relatedness(t: Tables) -> DataFrame:
     genome = F.when(F.col("p_partkey") % 2 == 0, F.col("p_type")).otherwise(F.lit(" "))
-    return X.relatedness(t.part.select(F.col("p_size").alias("taxon"), F.col("p_name").alias("name"), F.lit(7).alias("query_taxon"), F.lit("Red apple").alias("query_name"), genome.alias("genome_id")))
+    reference = t.part.select(genome.alias("genome_id"), F.concat("p_name", "p_brand").alias("genome_name"), F.col("p_partkey").alias("pos"))
+    queries = t.part.select(F.when(F.col("p_size") == 1, " ").otherwise(F.replace("p_name", F.lit("medium"), F.lit("mediumx"))).alias("query"))
+    return O.relatedness(reference, queries)
+
+
+# -- the full score --------------------------------------------------------------------------
+
+#: The query's organism, hits' organisms and taxa, and computed evidence, for Spark and DuckDB alike.
+ASKED = PROTEIN | {"query_name": "CASE c_nationkey % 3 WHEN 0 THEN 'Vibrio cholerae O1' WHEN 1 THEN ' ' ELSE 'Mycoplasma genitalium' END"}
+BOUND = HIT | {
+    "organism": "CASE o_orderkey % 4 WHEN 0 THEN 'Vibrio cholerae' WHEN 1 THEN 'Mycoplasmoides genitalium' WHEN 2 THEN 'Homo sapiens' END", "taxon": "CASE WHEN o_orderkey % 4 = 2 THEN 9606 END",
+    "has_metal": "o_orderkey % 7 = 0",
+}
+_COMPUTED = {
+    "human": ({"feature_id": "c_custkey", "human_pct": "(c_custkey % 100) * 1.0D0", "human_source": "'search'"}, "c_custkey % 11 = 0"),
+    "essential": ({"feature_id": "c_custkey", "essential_call": "CASE WHEN c_custkey % 3 <> 0 THEN c_custkey % 2 = 0 END", "essential_from": "'alignment'"}, "c_custkey % 13 = 0"),
+    "assays": ({"feature_id": "c_custkey"}, "c_custkey % 17 = 0"),
+    "retrieval": ({"feature_id": "c_custkey", "retrieval_status": "CASE WHEN c_custkey % 19 = 0 THEN 'query-failed' WHEN c_custkey % 4 <> 0 THEN 'ok' END", "error": "CASE WHEN c_custkey % 19 = 0 THEN 'timeout' END"}, "c_custkey % 5 <> 0"),
+}
+
+
+def scored_proteins(t: Tables, n: int = 100) -> DataFrame:
+    some = lambda c, x: F.when(F.col(c), F.array(F.lit(x))).otherwise(F.array().cast("array<string>"))
+    found = _shaped(t.orders, BOUND).withColumns({"ligands": some("has_ligand", "ATP"), "metals": some("has_metal", "ZN")})
+    part = lambda name: _shaped(t.customer.where(_COMPUTED[name][1]), _COMPUTED[name][0])
+    assays = part("assays").withColumn("assay_targets", F.array(F.lit("T1"), F.lit("T2")))
+    rows = C.score_proteins(_shaped(t.customer, ASKED), specialty(t), found, G.merge_calls(_shaped(t.events, CALL)), part("human"), part("essential"), assays, part("retrieval"), F.col("query_name"))
+    return C.rank_proteins(rows, n)
+
+
+_FULL = f"""WITH {_FLAGS}, {_HITS}, {_CALLS}, p AS ({_sql("customer", ASKED)}), more AS ({_sql("orders", BOUND)}),
+{", ".join(f"{name} AS ({_sql('customer', columns)} WHERE {where})" for name, (columns, where) in _COMPUTED.items())},
+basis AS (SELECT feature_id, CASE WHEN bool_or(m) THEN array_to_string(list_sort(list_distinct(list(classification) FILTER (WHERE m))), '; ') WHEN bool_and(t) THEN 'antibiotic target in susceptible species'
+ELSE 'AMR row with no classification recorded' END AS amr_basis, bool_or(t) AS antibiotic_target FROM (SELECT *, lower(coalesce(classification, '')) LIKE '%antibiotic efflux%' AS m,
+lower(coalesce(classification, '')) LIKE '%antibiotic target in susceptible species%' AS t FROM ({_sql("events", SPECIALTY)}) WHERE property = 'Antibiotic Resistance') GROUP BY 1),
+top AS (SELECT b.*, m.entry_id, m.identity, m.query_coverage, m.resolution, m.organism, m.taxon FROM best b JOIN more m USING (feature_id, pos)),
+holo AS (SELECT s.feature_id, s.entry_id AS holo_entry FROM scored s JOIN more m USING (pos) WHERE qualifies AND (s.has_ligand OR m.has_metal)
+QUALIFY row_number() OVER (PARTITION BY s.feature_id ORDER BY s.has_ligand DESC, hit_score DESC, s.bitscore DESC, pos) = 1),
+parts AS (SELECT p.feature_id, round(coalesce(hit_score, 0.0) / (1.0::DOUBLE + 0.10::DOUBLE + 0.05::DOUBLE + 0.05::DOUBLE), 6) AS pdb_evidence, hit_score, entry_id, identity, query_coverage, resolution, holo_entry,
+coalesce(has_ligand, FALSE) AS ligand, greatest(CASE WHEN virulence THEN 1.0 ELSE 0.0 END, coalesce(amr_value, 0.0))::DOUBLE AS virulence_amr, coalesce(essential_call, essential, FALSE) AS is_essential,
+coalesce(drug_target, FALSE) AS is_target, product LIKE 'hypothetical%' AS gap, coalesce(signal_source, surface_source, secreted_source) AS surface_source, coalesce(exposed, FALSE) AS surface, coalesce(membrane_value, FALSE) AS membrane,
+membrane_source, coalesce(has_ligand AND NOT has_partner, FALSE) AS own_ligand, a.feature_id IS NOT NULL AS assayed, coalesce(human_pct, human_identity_pct) AS pct,
+CASE WHEN human_pct IS NOT NULL THEN human_source WHEN human_identity_pct IS NOT NULL THEN 'specialty' ELSE '' END AS human_homolog_source, CASE WHEN essential_call IS NOT NULL THEN essential_from ELSE 'specialty' END AS essential_source,
+coalesce(amr_basis, '') AS amr_basis, coalesce(antibiotic_target, FALSE) AS antibiotic_target, coalesce(retrieval_status = 'query-failed', FALSE) AS search_failed, retrieval_status, coalesce(distinct_entries, 0) AS distinct_entries, coalesce(qualifying_hits, 0) AS qualifying_hits,
+CASE WHEN query_name <> ' ' THEN coalesce(organism IN ('Vibrio cholerae', 'Mycoplasmoides genitalium') AND query_name[1:8] = organism[1:8], FALSE) END AS related, coalesce(taxon = 9606, FALSE) AS human_hit
+FROM p LEFT JOIN flags USING (feature_id) LEFT JOIN basis USING (feature_id) LEFT JOIN top USING (feature_id) LEFT JOIN entries USING (feature_id) LEFT JOIN holo USING (feature_id) LEFT JOIN annotation USING (feature_id)
+LEFT JOIN human USING (feature_id) LEFT JOIN essential USING (feature_id) LEFT JOIN assays a USING (feature_id) LEFT JOIN retrieval USING (feature_id)),
+totals AS (SELECT *, round(coalesce(pct, 0.0) / 100, 6) AS penalty, own_ligand OR assayed AS ligandable, coalesce(pct >= 40, FALSE) AS disqualified,
+CASE WHEN own_ligand THEN 'ligand bound in ' || entry_id || ': ATP' WHEN assayed THEN 'compounds assayed against the mapped target: T1;T2' WHEN ligand THEN 'ligand in ' || entry_id || ' not credited: the entry has partners' ELSE '' END AS ligandable_basis FROM parts),
+summed AS (SELECT *, round(pdb_evidence * 0.40::DOUBLE + virulence_amr * 0.20::DOUBLE + (CASE WHEN is_essential THEN 1 ELSE 0 END) * 0.15::DOUBLE + (CASE WHEN is_target THEN 1 ELSE 0 END) * 0.15::DOUBLE + (CASE WHEN gap THEN 1 ELSE 0 END) * 0.30::DOUBLE
++ (CASE WHEN surface THEN 1 ELSE 0 END) * 0.10::DOUBLE + (CASE WHEN ligandable THEN 1 ELSE 0 END) * 0.10::DOUBLE - (CASE WHEN membrane THEN 1 ELSE 0 END) * 0.15::DOUBLE - penalty * 0.25::DOUBLE, 6) AS score,
+CASE WHEN disqualified THEN printf('human homolog %.1f%% identity (%s)', pct, human_homolog_source) ELSE '' END AS disqualified_why FROM totals),
+ranked AS (SELECT *, row_number() OVER w AS rank, NOT disqualified AND sum(CASE WHEN disqualified THEN 0 ELSE 1 END) OVER (w ROWS UNBOUNDED PRECEDING) <= 100 AS selected FROM summed
+WINDOW w AS (ORDER BY score DESC, pdb_evidence DESC, distinct_entries DESC, feature_id)),
+full_rows AS (SELECT *, concat_ws('; ', CASE WHEN hit_score IS NOT NULL THEN printf('PDB %d identity %.0f%%, coverage %.0f%%, %.2f A', entry_id, identity * 100, query_coverage * 100, resolution)
+WHEN search_failed THEN 'PDB search failed; no structural evidence recorded' ELSE 'no qualifying PDB hit' END, CASE WHEN ligand THEN 'ligand-bound homolog: ATP' END, CASE WHEN virulence_amr > 0 THEN 'virulence/AMR' END,
+CASE WHEN is_essential THEN 'essential-gene ortholog' END, CASE WHEN is_target THEN 'known drug target' END, CASE WHEN gap THEN 'uncharacterized product' END, CASE WHEN ligandable THEN 'ligandable homolog (' || ligandable_basis || ')' END,
+CASE WHEN surface THEN 'surface-exposed or secreted' END, CASE WHEN membrane THEN 'predicted membrane protein (penalty)' END, CASE WHEN penalty > 0 THEN printf('human homolog %.0f%% identity (penalty)', round_even(penalty * 100, 0)) END,
+CASE WHEN related THEN 'best structural hit is of the same species' END, CASE WHEN antibiotic_target THEN 'antibiotic target in a susceptible species, not a resistance gene' END,
+CASE WHEN disqualified THEN 'DISQUALIFIED: ' || disqualified_why END) AS reason FROM ranked)"""
+
+
+@query(_FULL + """ SELECT feature_id, score, rank, selected, distinct_entries, holo_entry, human_homolog_source, essential_source, amr_basis, surface_source IS NOT NULL AS surface_measured, hit_score IS NOT NULL OR assayed AS ligandable_measured,
+hit_score IS NULL AND NOT search_failed AS no_hit, search_failed, human_hit, related AS same_species_hit, disqualified_why, reason FROM full_rows""")
+def full_scores(t: Tables) -> DataFrame:
+    return scored_proteins(t).select(
+        "feature_id", "score", "rank", "selected", "distinct_entries", "holo_entry", "human_homolog_source", "essential_source", "amr_basis", "surface_measured", "ligandable_measured",
+        "no_hit", "search_failed", "human_hit", "same_species_hit", "disqualified_why", "reason",
+    )
+
+
+@query(_FULL + """, c AS (SELECT 'counts' AS part, unnest(['proteins_scored', 'selected', 'disqualified', 'no_hit', 'search_failed', 'hits_qualifying']) AS name, unnest([count(*), count(*) FILTER (WHERE selected), count(*) FILTER (WHERE disqualified),
+count(*) FILTER (WHERE hit_score IS NULL AND NOT search_failed), count(*) FILTER (WHERE search_failed), sum(qualifying_hits)]) AS n FROM full_rows
+UNION ALL SELECT 'measured', unnest(['surface_bonus', 'ligandable_homolog', 'membrane_penalty']), unnest([count(surface_source), count(*) FILTER (WHERE hit_score IS NOT NULL OR assayed), count(membrane_source)]) FROM full_rows
+UNION ALL SELECT 'nonzero', unnest(['pdb_evidence', 'virulence_amr', 'essential', 'drug_target', 'annotation_gap', 'surface_bonus', 'ligandable_homolog', 'membrane_penalty', 'human_homolog_penalty']),
+unnest([count(*) FILTER (WHERE pdb_evidence <> 0), count(*) FILTER (WHERE virulence_amr <> 0), count(*) FILTER (WHERE is_essential), count(*) FILTER (WHERE is_target), count(*) FILTER (WHERE gap), count(*) FILTER (WHERE surface),
+count(*) FILTER (WHERE ligandable), count(*) FILTER (WHERE membrane), count(*) FILTER (WHERE penalty <> 0)]) FROM full_rows
+UNION ALL SELECT 'same_organism', unnest(['species_total', 'species_selected', 'genus_total', 'genus_selected']), unnest([count(*) FILTER (WHERE related), count(*) FILTER (WHERE related AND selected), count(*) FILTER (WHERE related), count(*) FILTER (WHERE related AND selected)]) FROM full_rows
+UNION ALL SELECT 'retrieval', coalesce(retrieval_status, 'not asked'), count(*) FROM full_rows GROUP BY 2) SELECT part, name, n::BIGINT AS n FROM c""")
+def run_manifest(t: Tables) -> DataFrame:
+    return C.run_manifest(scored_proteins(t))
+
+
+@query(f"""SELECT 'search' AS step, CAST(feature_id AS VARCHAR) AS key, 'timeout' AS error FROM ({_sql("customer", _COMPUTED["retrieval"][0])} WHERE {_COMPUTED["retrieval"][1]}) WHERE retrieval_status = 'query-failed'""")
+def run_failures(t: Tables) -> DataFrame:
+    return C.failures(scored_proteins(t))
 
 
 @query(f"""SELECT feature_id, coalesce(array_to_string(list_sort(list(DISTINCT nullif(classification, ''))), ','), '') AS classes, array_to_string(list_sort(list(DISTINCT property)), ',') AS properties, count(*) AS rows
