@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -12,7 +14,11 @@ from basalt.operators import best as B
 from basalt.operators import lineage as L
 from basalt.operators import trees as G
 from basalt.operators.naming import unique_ids
+from basalt.operators.staging import shared_folder
 from basalt.plans.queries import Tables, query
+from basalt.sources import paged as N
+from basalt.streaming import latest
+from basalt.streaming import stateful as Z
 
 # -- summaries -------------------------------------------------------------------------------
 
@@ -213,3 +219,30 @@ def daily_windows(t: Tables) -> DataFrame:
 @query("""SELECT o_custkey, count(*) AS orders, round(least(2.0, log10(count(*) + 1)), 6) AS bonus FROM orders GROUP BY 1""")
 def literature_bonus(t: Tables) -> DataFrame:
     return t.orders.groupBy("o_custkey").agg(F.count("*").alias("orders")).withColumn("bonus", F.round(S.literature_bonus(F.col("orders")), 6))
+
+
+# -- pages and streams -----------------------------------------------------------------------
+
+
+def _scratch(t: Tables) -> str:
+    return f"{shared_folder(t.spark)}/query_{uuid.uuid4().hex}"
+
+
+@query("""SELECT row_number() OVER (ORDER BY c_custkey) - 1 AS pos, c_custkey, c_name, c_mktsegment FROM customer""")
+def paged_rows(t: Tables) -> DataFrame:
+    """The customers, kept as pages of replies in the shared folder and read again a page a task."""
+    folder = _scratch(t)
+    rows = t.customer.select("c_custkey", "c_name", "c_mktsegment")
+    N.keep_pages(rows, F.col("c_custkey"), folder, 500)
+    return N.fields(N.pages(t.spark, N.folder_fetch(folder), 500, rows.count()), "c_custkey long, c_name string, c_mktsegment string")
+
+
+@query("""WITH e AS (SELECT user_id, event_id, ts, value, epoch_us(ts) // 1000 - lag(epoch_us(ts) // 1000) OVER (PARTITION BY user_id ORDER BY ts) > 86400000 AS new FROM events WHERE value IS NOT NULL AND user_id IS NOT NULL),
+r AS (SELECT *, sum(CASE WHEN new THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts RANGE UNBOUNDED PRECEDING) AS k FROM e)
+SELECT CAST(user_id AS VARCHAR) AS key, row_number() OVER (PARTITION BY user_id ORDER BY min(ts))::INTEGER AS sessions, count(*) AS n, round(sum(value), 6) AS total, epoch_us(min(ts)) // 1000 AS first_ms, epoch_us(max(ts)) // 1000 AS last_ms
+FROM r GROUP BY user_id, k HAVING epoch_us(max(ts)) // 1000 + 86400000 <= (SELECT epoch_us(max(ts)) // 1000 - 3600000 FROM events)""")
+def event_sessions(t: Tables) -> DataFrame:
+    """The stream of events, run through with keyed state and timers: users' days of activity."""
+    out = Z.run_through(Z.sessions(latest.events_stream(t.spark, t.sf_dir), "user_id", 86400), _scratch(t))
+    ms = lambda c: F.unix_millis(c)
+    return out.select("key", "sessions", "n", F.round("total", 6).alias("total"), ms(F.col("first_ts")).alias("first_ms"), ms(F.col("last_ts")).alias("last_ms"))

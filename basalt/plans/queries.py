@@ -22,6 +22,7 @@ class Tables:
     """The tables of a data folder, by attribute."""
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self.spark, self.sf_dir = spark, sf_dir
         self._read = lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
     def __getattr__(self, name: str) -> DataFrame:

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events folder as a stream, its times as timestamps with a watermark."""
-    path = f"{sf_dir}/events.parquet"
-    schema = spark.read.parquet(path).schema
-    return spark.readStream.schema(schema).parquet(path).withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", "1 hour")
+    """The events, one file or a folder, as a stream, its times as timestamps with a watermark."""
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    # Streams take a single file only by a pattern.
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/events.[p]arquet").withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", "1 hour")
 
 
 def distinct_events(stream: DataFrame, key: str = "event_id") -> DataFrame:
