@@ -13,6 +13,7 @@ from basalt.functions import scalar as S
 from basalt.operators import features as X
 from basalt.operators import organisms as O
 from basalt.plans import scoring as C
+from basalt.plans import sites as Y
 from basalt.plans import structures as P
 from basalt.plans import triage as G
 from basalt.plans.queries import Tables, query
@@ -196,6 +197,51 @@ def structure_gate(t: Tables) -> DataFrame:
     return P.gate(_shaped(t.orders, _GATE)).select("pos", "passed", "reasons")
 
 
+#: Atoms, templates and chains out of the embeddings, for Spark and DuckDB alike: labels are structures.
+_ATOM = {
+    "structure": "CAST(label AS VARCHAR(20))", "pos": "vec_id", "group_PDB": "CASE WHEN vec_id % 6 = 0 THEN 'HETATM' ELSE 'ATOM' END",
+    "component": "CASE WHEN vec_id % 6 <> 0 THEN 'ALA' WHEN vec_id % 12 = 0 THEN 'ATP' WHEN vec_id % 18 = 0 THEN 'MG' ELSE 'HOH' END", "chain": "CASE vec_id % 5 WHEN 0 THEN 'B' WHEN 1 THEN 'C' ELSE 'A' END",
+    "seq_id": "CAST(vec_id AS INTEGER)", "auth_seq_id": "CAST(vec_id AS VARCHAR(20))", "auth_chain": "CASE WHEN vec_id % 5 = 1 THEN 'X' END", "b": "(vec_id * 37 % 60) * 1.0D0 + 40.0D0",
+}
+_KINDS = {
+    "structure": "CAST(label AS VARCHAR(20))", "accession": "CASE WHEN label % 7 = 3 THEN 'AF-1' ELSE concat('e', label, '_9') END", "source": "CASE WHEN label % 2 = 0 THEN 'afdb' ELSE 'pdb' END",
+    "template": "CASE WHEN label % 7 <> 5 THEN concat('E', label, '_', 1 + label % 2) END",
+}
+_SITES = f"""a AS (SELECT * FROM (SELECT {", ".join(f"{x.replace('1.0D0', '1.0::DOUBLE').replace('40.0D0', '40.0::DOUBLE')} AS {n}" for n, x in _ATOM.items())}, label, embedding[1]::DOUBLE * 50 AS x, embedding[2]::DOUBLE * 50 AS y, embedding[3]::DOUBLE * 50 AS z FROM embeddings)),
+t AS (SELECT DISTINCT label, {", ".join(f"{x} AS {n}" for n, x in _KINDS.items())} FROM embeddings), w AS (SELECT structure, label, source FROM t WHERE label % 7 NOT IN (3, 5)),
+h AS (SELECT a.* FROM a JOIN w USING (label) WHERE group_PDB = 'HETATM' AND (component = 'ATP' OR component = 'MG' AND label % 3 <> 0)),
+p AS (SELECT a.* FROM a JOIN w USING (label) WHERE group_PDB = 'ATOM' AND (label % 2 = 0 OR chain IN ('A', 'B'))),
+n AS (SELECT h.label, h.pos AS copy, h.component, h.chain AS c, p.pos, p.b, sqrt((p.x - h.x) ** 2 + (p.y - h.y) ** 2 + (p.z - h.z) ** 2) AS distance FROM h JOIN p ON p.label = h.label AND sqrt((p.x - h.x) ** 2 + (p.y - h.y) ** 2 + (p.z - h.z) ** 2) <= 4.5),
+s AS (SELECT label, copy, component, c, count(*) AS n_residues, avg(b) AS mean_b, round(min(distance), 2) AS nearest, string_agg(CAST(pos AS VARCHAR), ',' ORDER BY coalesce(CASE WHEN pos % 5 = 1 THEN 'X' END, CASE pos % 5 WHEN 0 THEN 'B' ELSE 'A' END), pos) AS lining FROM n GROUP BY 1, 2, 3, 4 HAVING count(*) >= 3),
+sites AS (SELECT w.structure, component || '_' || c || copy AS site, row_number() OVER (PARTITION BY w.structure ORDER BY component <> 'ATP', n_residues DESC, copy)::INTEGER AS rank, n_residues, nearest, lining,
+component = 'MG' OR label IN (SELECT label FROM h WHERE component = 'MG') AS cofactor_required, NOT (source = 'afdb' AND mean_b < 70) AS usable FROM s JOIN w USING (label))"""
+
+
+def _sites(t: Tables) -> tuple[DataFrame, DataFrame]:
+    at = [(F.col("embedding")[i].cast("double") * 50).alias(c) for i, c in enumerate("xyz")]
+    atoms = t.embeddings.select(*(F.expr(x.replace("D0", "D")).alias(n) for n, x in _ATOM.items()), *at)
+    metals = F.when(F.col("label") % 3 != 0, F.array(F.lit("mg"))).otherwise(F.array().cast("array<string>"))
+    templates = t.embeddings.select("label", *(F.expr(x).alias(n) for n, x in _KINDS.items())).distinct().select(*_KINDS, F.array(F.lit("atp")).alias("ligands"), metals.alias("metals"))
+    chains = t.embeddings.where("label % 2 = 1").select(F.col("label").cast("string").alias("structure"), F.lit("2").alias("entity"), F.explode(F.array(F.lit("A"), F.lit("B"))).alias("chain")).distinct()
+    return templates, Y.holo_sites(atoms, templates, chains)
+
+
+@query(f"WITH {_SITES} SELECT * FROM sites")
+def holo_sites(t: Tables) -> DataFrame:
+    _, sites = _sites(t)
+    lining = F.array_join(F.transform("residues", lambda r: r["auth"]), ",")
+    nearest = F.array_min(F.transform("residues", lambda r: r["distance"]))
+    return sites.select("structure", "site", "rank", "n_residues", nearest.alias("nearest"), lining.alias("lining"), "cofactor_required", "usable")
+
+
+@query(f"""WITH {_SITES}, c AS (SELECT structure, count(*) AS sites, count(*) FILTER (WHERE usable) AS usable FROM sites GROUP BY 1)
+SELECT t.structure, CASE WHEN sites IS NULL THEN 'no_pocket' WHEN c.usable > 0 THEN 'ok' ELSE 'all_rejected' END AS status, coalesce(sites, 0) AS sites, coalesce(c.usable, 0) AS usable, label % 7 NOT IN (3, 5) AS template_is_structure,
+CASE WHEN sites > 0 THEN '' WHEN label % 7 = 5 THEN 'no qualifying homolog binds a ligand or metal; a pocket detector is needed and none ran' WHEN label % 7 = 3 THEN 'the binding site is in ' || template || ', not in the collected structure; transferring it needs a superposition'
+ELSE 'no residue of our entity lines ATP' || CASE WHEN label % 3 <> 0 THEN ', MG' ELSE '' END END AS reason FROM t LEFT JOIN c USING (structure)""")
+def site_status(t: Tables) -> DataFrame:
+    return Y.site_status(*_sites(t))
+
+
 # -- joins of feature tables -----------------------------------------------------------------
 
 

@@ -42,18 +42,34 @@ def atoms(spark: SparkSession, path: str) -> DataFrame:
             for file, content in zip(frame["path"], frame["content"]):
                 names, rows = loop_rows(content.decode("utf-8", errors="replace"), "_atom_site.Cartn_x")
                 table = pd.DataFrame(rows, columns=[n.split(".")[-1] for n in names])
-                yield pd.DataFrame({"path": file} | {c: table[c] if c in table else None for c in columns}, index=table.index)
+                yield pd.DataFrame({"path": file, "pos": table.index} | {c: table[c] if c in table else None for c in columns}, index=table.index)
 
-    schema = "path string, " + ", ".join(f"{c} string" for c in columns)
+    schema = "path string, pos long, " + ", ".join(f"{c} string" for c in columns)
     raw = spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, schema)
     value = lambda c: F.when(~F.col(c).isin(".", "?"), F.col(c))
     return raw.where("pdbx_PDB_model_num is null or pdbx_PDB_model_num = '1'").select(
-        F.regexp_extract("path", r"([^/]+)\.cif$", 1).alias("structure"), "group_PDB", value("label_atom_id").alias("atom"), value("label_comp_id").alias("component"),
-        value("label_asym_id").alias("chain"), as_int(value("label_seq_id")).alias("seq_id"), value("auth_seq_id").alias("auth_seq_id"),
+        F.regexp_extract("path", r"([^/]+)\.cif$", 1).alias("structure"), "pos", "group_PDB", value("label_atom_id").alias("atom"), value("label_comp_id").alias("component"),
+        value("label_asym_id").alias("chain"), as_int(value("label_seq_id")).alias("seq_id"), value("auth_seq_id").alias("auth_seq_id"), value("auth_asym_id").alias("auth_chain"),
         as_float(F.col("Cartn_x")).alias("x"), as_float(F.col("Cartn_y")).alias("y"), as_float(F.col("Cartn_z")).alias("z"), as_float(F.col("B_iso_or_equiv")).alias("b"),
     )
 
 
+def entity_chains(spark: SparkSession, path: str) -> DataFrame:
+    """Rows (structure, entity, chain): which chains belong to an entity, where the file says so."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for file, content in zip(frame["path"], frame["content"]):
+                names, rows = loop_rows(content.decode("utf-8", errors="replace"), "_struct_asym.entity_id")
+                table = pd.DataFrame(rows, columns=[n.split(".")[-1] for n in names])
+                known = {"path": file, "entity": table.get("entity_id"), "chain": table.get("id")}
+                yield pd.DataFrame(known, index=table.index)
+
+    raw = spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "path string, entity string, chain string")
+    told = raw.where(~F.col("entity").isin(".", "?") & ~F.col("chain").isin(".", "?"))
+    return told.select(F.regexp_extract("path", r"([^/]+)\.cif$", 1).alias("structure"), "entity", "chain").distinct()
+
+
 def newick_nodes(text: str) -> list[tuple[int, int | None, str, float | None]]:
     """Nodes (id, parent, name, length) of a Newick tree, parents before children."""
     nodes: list[list] = [[0, None, "", None]]
