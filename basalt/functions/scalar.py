@@ -46,7 +46,7 @@ def slug(c: Column, size: int = 60) -> Column:
 
 def split_list(c: Column, separators: str = r"[,|]") -> Column:
     """Array of a text list's items; a lone dash means none."""
-    return F.filter(F.transform(F.split(c, separators), F.trim), lambda x: ~x.isin("", "-"))
+    return F.filter(F.transform(F.split(c, separators), lambda x: F.trim(x)), lambda x: ~x.isin("", "-"))
 
 
 def numeric_references(c: Column) -> Column:

@@ -15,6 +15,7 @@ from basalt.operators import lineage as L
 from basalt.operators import trees as G
 from basalt.operators.naming import unique_ids
 from basalt.operators.staging import shared_folder
+from basalt.plans import taxonomy as Q
 from basalt.plans.queries import Tables, query
 from basalt.sources import paged as N
 from basalt.streaming import latest
@@ -99,9 +100,42 @@ def resolution_tiers(t: Tables) -> DataFrame:
     return B.first_per_key(rows, ["n_nationkey"], [F.col("tier"), F.desc("s_acctbal"), F.col("s_suppkey")]).select("n_nationkey", "s_suppkey", "tier")
 
 
-@query("""SELECT doc_id, CASE WHEN n_chars <= 500 THEN 'species' WHEN n_chars <= 2000 THEN 'genus' END AS rank FROM documents""")
+@query("""SELECT doc_id, CASE WHEN n_chars / 10000.0 <= 0.05 THEN 'species' WHEN n_chars / 10000.0 <= 0.2 THEN 'genus' END AS rank FROM documents""")
 def rank_by_distance(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", F.when(F.col("n_chars") <= 500, "species").when(F.col("n_chars") <= 2000, "genus").alias("rank"))
+    return t.documents.select("doc_id", Q.rank_of(F.col("n_chars") / 10000).alias("rank"))
+
+
+@query("""WITH h AS (SELECT c_custkey AS run, o_orderkey, CASE WHEN o_orderkey % 11 <> 0 THEN CASE WHEN o_orderkey % 13 = 0 THEN 'gone' ELSE 'c' || c_custkey END END AS taxon, (o_orderkey % 50) / 200.0::DOUBLE AS distance, c_nationkey, n_regionkey
+FROM customer LEFT JOIN orders ON o_custkey = c_custkey JOIN nation ON n_nationkey = c_nationkey QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY (o_orderkey % 50) / 200.0::DOUBLE, o_orderkey) = 1),
+r AS (SELECT *, CASE WHEN distance <= 0.05 THEN 'species' WHEN distance <= 0.2 THEN 'genus' END AS rank FROM h),
+s AS (SELECT *, CASE WHEN o_orderkey IS NULL THEN 'no hits' WHEN rank IS NULL THEN printf('the nearest genome is at %.4f, beyond every cut-off', distance) WHEN taxon IS NULL THEN 'the nearest genome has no taxon' WHEN taxon = 'gone' THEN 'the taxon is not known'
+WHEN rank = 'genus' AND n_regionkey = 4 THEN 'the lineage has no genus' ELSE '' END AS reason FROM r)
+SELECT run, CASE WHEN reason = '' THEN rank END AS called_rank, CASE WHEN reason = '' THEN CASE rank WHEN 'species' THEN 'n' || c_nationkey ELSE 'r' || n_regionkey END END AS taxon, reason FROM s""")
+def taxon_calls(t: Tables) -> DataFrame:
+    """Customers as runs, their orders as hits on them, and the tree of places as the taxonomy."""
+    rank = F.when(F.col("node").startswith("n"), "species").when(F.col("node").startswith("r") & (F.col("node") != "r4"), "genus").otherwise("no rank")
+    taxa = places(t).where(~F.col("node").startswith("o")).select(F.col("node").alias("taxon"), "parent", rank.alias("rank"), "name")
+    taxon = F.when(F.col("o_orderkey") % 11 != 0, F.when(F.col("o_orderkey") % 13 == 0, "gone").otherwise(F.concat(F.lit("c"), "o_custkey")))
+    hits = t.orders.select(F.col("o_custkey").alias("run"), F.col("o_orderkey").cast("string").alias("genome"), taxon.alias("taxon"), (F.col("o_orderkey") % 50 / 200).alias("distance"), F.col("o_orderkey").alias("pos"))
+    return Q.call_taxa(t.customer.select(F.col("c_custkey").alias("run")), hits, taxa).drop("name")
+
+
+@query("""WITH g AS (SELECT s_name AS value, count(*) AS n FROM lineitem JOIN supplier ON s_suppkey = l_suppkey WHERE l_quantity > 49 GROUP BY 1), m AS (SELECT n_name AS value, count(*) AS n FROM supplier JOIN nation ON n_nationkey = s_nationkey WHERE s_acctbal > 6000 GROUP BY 1),
+a AS (SELECT c_custkey, n_name, r_name, CASE WHEN c_custkey % 9 = 0 THEN 'Supplier#' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') END AS rel FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey)
+SELECT c_custkey AS query, CASE WHEN c_custkey % 7 <> 0 AND g.n IS NOT NULL THEN 'genome' ELSE 'name' END AS kind,
+CASE WHEN c_custkey % 7 = 0 THEN 'ASIA' WHEN g.n IS NOT NULL THEN '1 related genomes' WHEN m.n IS NOT NULL THEN n_name WHEN r_name = 'ASIA' THEN r_name ELSE n_name END AS matched,
+CASE WHEN c_custkey % 7 = 0 THEN 77 WHEN g.n IS NOT NULL THEN g.n WHEN m.n IS NOT NULL THEN m.n WHEN r_name = 'ASIA' THEN 77 ELSE 0 END::BIGINT AS rows
+FROM a LEFT JOIN g ON g.value = rel LEFT JOIN m ON m.value = n_name""")
+def reference_resolution(t: Tables) -> DataFrame:
+    """Customers ask for relatives: by keyword, by suppliers of their number, or by their nation and region."""
+    named = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
+    own = F.when(F.col("c_custkey") % 9 == 0, F.array(F.concat(F.lit("Supplier#"), F.lpad(F.col("c_custkey").cast("string"), 9, "0")), F.lit("")))
+    asked = named.select(F.col("c_custkey").alias("query"), F.when(F.col("c_custkey") % 7 == 0, "ASIA").otherwise(" ").alias("keyword"), own.alias("relatives"), F.array("r_name", F.lit(" "), "n_name").alias("lineage"), F.when(F.col("c_custkey") % 2 == 0, F.col("n_name")).alias("scientific"))
+    genomes = t.lineitem.where("l_quantity > 49").join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey")).groupBy(F.col("s_name").alias("value")).agg(F.count("*").alias("rows"))
+    nations = t.supplier.where("s_acctbal > 6000").join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).groupBy(F.col("n_name").alias("value")).agg(F.count("*").alias("rows"))
+    regions = t.region.where("r_name = 'ASIA'").select(F.col("r_name").alias("value"), F.lit(77).cast("long").alias("rows"))
+    names = nations.unionByName(regions).withColumn("kind", F.lit("name"))
+    return Q.resolve_reference(asked, names.unionByName(genomes.withColumn("kind", F.lit("genome"))))
 
 
 @query("""SELECT event_id, user_id, CASE WHEN value IS NULL THEN NULL ELSE value >= 50 END AS known, coalesce(CASE WHEN value >= 90 THEN 'failed' END, 'seen') AS status FROM events""")

@@ -98,10 +98,12 @@ def test_names_are_unique_as_if_given_in_turn(spark):
     fixed = ["a", "a", "a_2", "a_2_dup", "a_2", "a", "a_2_2", "b_02", "b", "b", "c_1", "c", "c", "d_3", "d", "d", "d", "d_2", "e", "e_2", "e", "e_3", "e", "q\n_2", "q\n"]
     pool = ["x", "x_2", "x_3", "x_2_2", "x_5", "x_2_3", "x_3_2", "y", "y_4"]
     cases = [fixed, ["a"] * 40, *[[rng.choice(pool) for _ in range(rng.randrange(1, 60))] for _ in range(6)]]
-    for case in cases:
-        rows = spark.createDataFrame([(k * 3, i) for k, i in enumerate(case)] + [(10**6, None)], "pos int, feature_id string").repartition(3)
-        got = [r["unique_id"] for r in unique_ids(rows).orderBy("pos").collect()]
-        assert got[:-1] == plain_names(case) and len(set(got)) == len(got) and got[-1] is None
+    # Names of different cases never meet: each case has letters of its own.
+    marked = [(c, [f"{chr(65 + c)}{i}" for i in case]) for c, case in enumerate(cases)]
+    rows = [(c * 10**6 + k * 3, i) for c, case in marked for k, i in enumerate(case)] + [(10**8, None)]
+    rng.shuffle(rows)
+    got = dict(map(tuple, unique_ids(spark.createDataFrame(rows, "pos int, feature_id string").repartition(3)).select("pos", "unique_id").collect()))
+    assert got == {c * 10**6 + k * 3: name for c, case in marked for k, name in enumerate(plain_names(case))} | {10**8: None}
 
 
 def plain_linkage(names, distances):
@@ -119,17 +121,17 @@ def plain_linkage(names, distances):
         joins[a, b] = (round(gap / 2, 9), len(joined))
 
 
-@pytest.mark.parametrize("seed,share", [(1, 1.0), (2, 0.4), (3, 0.1)])
+@pytest.mark.parametrize("seed,share", [(1, 1.0), (2, 0.2)])
 def test_rounds_of_nearest_pairs_give_the_linkage(spark, seed, share):
     rng = random.Random(seed)
-    names = [f"s{k:02}" for k in range(24)]
+    names = [f"s{k:02}" for k in range(16)]
     distances = {p: rng.random() for p in itertools.combinations(names, 2) if rng.random() < share}
     joins, roots = trees.average_linkage(spark.createDataFrame([(n,) for n in names], "node string"), spark.createDataFrame([(*p, d) for p, d in distances.items()], "a string, b string, distance double"))
     want, clusters = plain_linkage(names, distances)
     assert {(r["left"], r["right"]): (round(r["height"], 9), r["size"]) for r in joins.collect()} == want
     assert {r["node"]: r["size"] for r in roots.collect()} == {n: len(c) for n, (c, _) in clusters.items()}
     whole = trees.newick(roots).first()
-    assert whole["leaves"] == 24 and all(whole["newick"].count(n) == 1 for n in names) and whole["newick"].count("(") == 23
+    assert whole["leaves"] == 16 and all(whole["newick"].count(n) == 1 for n in names) and whole["newick"].count("(") == 15
 
 
 def test_newick_of_three(spark):
