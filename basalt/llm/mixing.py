@@ -172,11 +172,12 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     which the mix gave to all of them; they differ by one copy at most.
     """
     dealt = mix(docs).groupBy(F.struct("doc_id", "skey", "h").alias("mix_key")).agg(F.sum("copies").alias("mix_total"), F.count("*").alias("mix_rows")).where("mix_total > 0")
-    # A struct is equal to another where their fields are, nulls included.
-    keyed = docs.withColumn("mix_own", F.struct("doc_id", _skey().alias("skey"), F.xxhash64("doc_id", "text").alias("h")))
+    # A struct is equal to another where their fields are, nulls included. The row itself is kept in
+    # one, so that no name of its columns can meet a name of ours.
     plain = [f.name for f in docs.schema.fields if isinstance(f.dataType, T.AtomicType)]
-    keyed = keyed.withColumn("mix_number", F.row_number().over(W.partitionBy("mix_own").orderBy(F.xxhash64(*plain))))
+    keyed = docs.select(F.struct("doc_id", _skey().alias("skey"), F.xxhash64("doc_id", "text").alias("h")).alias("mix_own"), F.xxhash64(*(F.col(f"`{c}`") for c in plain)).alias("mix_hash"), F.struct("*").alias("mix_row"))
+    keyed = keyed.withColumn("mix_number", F.row_number().over(W.partitionBy("mix_own").orderBy("mix_hash")))
     joined = keyed.join(dealt, keyed["mix_own"] == dealt["mix_key"])
     copies = F.floor(F.col("mix_total") / F.col("mix_rows")) + (F.col("mix_number") <= F.col("mix_total") % F.col("mix_rows")).cast("long")
     given = joined.withColumn("mix_copies", copies).where("mix_copies > 0")
-    return given.withColumn("mix_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("mix_copies")))).select(*docs.columns)
+    return given.withColumn("mix_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("mix_copies")))).select("mix_row.*")

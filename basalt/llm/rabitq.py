@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from basalt.llm.common import cut
-from basalt.llm.vectors import clean
+from basalt.llm.vectors import by_dimension, clean
 
 #: Neighbours of a query, and bits to which a turned query is rounded.
 NEAREST, QUERY_BITS = 20, 6
@@ -107,13 +107,25 @@ def search(vectors: DataFrame, every: int = 20, nearest: int = NEAREST) -> DataF
     Queries are the vectors whose vec_id is divisible by ``every``; candidates are all others,
     nearness the inner product in double precision, ties to the smaller vec_id. All vectors are
     coded and all queries meet all codes, in blocks dealt by a hash of the id, so that copies of
-    one vector spread evenly. Vectors that are null, empty, zero, of another dimension than
-    most, or hold null or non-finite components take no part, nor do rows with a null vec_id. A
-    repeated row is one more candidate; a vec_id is no neighbour of itself. With fewer than
+    one vector spread evenly. A query's candidates are the vectors of its dimension. Vectors that are
+    null, empty, zero, or hold null or non-finite components take no part, nor do rows with a null
+    vec_id. A repeated row is one more candidate; a vec_id is no neighbour of itself. With fewer than
     ``nearest`` candidates all are returned; further columns play no part; an empty table gives
     an empty result.
     """
     rows = cut(clean(vectors))
+    parts = [_met(part, every, nearest) for part in by_dimension(rows) or [rows]]
+    met = parts[0]
+    for part in parts[1:]:
+        met = met.unionByName(part)
+    order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    ranked = met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= nearest)
+    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+
+def _met(rows: DataFrame, every: int, nearest: int) -> DataFrame:
+    """Rows (query_id, vec_id, score): each query's nearest of every block, for vectors of one
+    dimension."""
     total = rows.count()
     asking = rows.where(F.col("id") % every == 0).distinct()
     query_blocks, blocks = max(1, -(-asking.count() // QUERY_BLOCK)), max(1, -(-total // CANDIDATE_BLOCK))
@@ -138,7 +150,4 @@ def search(vectors: DataFrame, every: int = 20, nearest: int = NEAREST) -> DataF
         q, c, s = (list(x) for x in columns)
         return pa.table({"query_id": pa.array(q, pa.int64()), "vec_id": pa.array(c, pa.int64()), "score": pa.array(s, pa.float64())})
 
-    met = sides.groupBy("qb", "cb").applyInArrow(meet, "query_id long, vec_id long, score double")
-    order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= nearest)
-    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    return sides.groupBy("qb", "cb").applyInArrow(meet, "query_id long, vec_id long, score double")

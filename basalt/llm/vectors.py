@@ -16,11 +16,22 @@ def sound(vector: Column) -> Column:
 
 
 def clean(vectors: DataFrame, key: str = "vec_id", column: str = "embedding") -> DataFrame:
-    """Rows (id, v): the sound vectors as arrays of doubles, of the commonest dimension."""
+    """Rows (id, v): the sound vectors as arrays of doubles, of any dimension."""
     whole = vectors.select(F.col(key).cast("long").alias("id"), F.col(column).cast("array<double>").alias("v"))
-    good = whole.where(F.col("id").isNotNull() & sound(F.col("v")))
-    size = good.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
-    return good.where(F.size("v") == (size[0]["d"] if size else 0))
+    return whole.where(F.col("id").isNotNull() & sound(F.col("v")))
+
+
+def by_dimension(rows: DataFrame) -> list[DataFrame]:
+    """The rows (id, v) of each dimension for themselves: only vectors of one dimension compare."""
+    sizes = sorted(r["d"] for r in rows.select(F.size("v").alias("d")).distinct().collect())
+    return [rows if len(sizes) == 1 else rows.where(F.size("v") == d) for d in sizes]
+
+
+def in_range(v: Column) -> Column:
+    """The vector itself or, where squares of its components leave the range of doubles, one in the
+    same direction that they do not leave."""
+    most = F.array_max(F.transform(v, lambda x: F.abs(x)))
+    return F.when((most < 1e-100) | (most > 1e100), F.transform(v, lambda x: x / most)).otherwise(v)
 
 
 def sample(rows: DataFrame, size: int = MAX_SAMPLE):

@@ -520,3 +520,34 @@ def test_mix_rates_solve_the_dual(spark):
     rate = lambda size: 2 / (1 + np.exp(-a["multiplier"] * size / a["mean"]))
     assert 50 * 10 * rate(10) + 20 * 100 * rate(100) + 5000 * rate(5000) == pytest.approx(5000, rel=1e-6)
     assert solved["sb"]["full"]
+
+
+# -- Vectors of several dimensions, extreme components, clashing names ------------------------
+
+
+def test_vectors_of_each_dimension_are_searched_for_themselves(spark):
+    rng = np.random.default_rng(3)
+    rows = [(k, rng.normal(size=3).tolist()) for k in range(30)]
+    rows += [(20 * k + 1000, v) for k, v in enumerate(([1.0, 2.0], [1.0, 2.001], [-3.0, 1.0]))] + [(5000, [1e-170, 2e-170]), (5001, [-1e200, -2e200]), (5002, [0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    exact = {k: np.array(v) / np.abs(v).max() for k, v in rows if np.any(v)}
+    cos = lambda a, b: float(a @ b / np.sqrt((a @ a) * (b @ b)))
+    linked = [(a, b) for a in exact for b in exact if a < b and len(exact[a]) == len(exact[b]) and cos(exact[a], exact[b]) >= 0.95]
+    root = union_find([k for k, _ in rows], linked)
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in itq.embedding_groups(df).collect()}
+    assert got == {k: (sum(k in pair for pair in linked), root[k]) for k, _ in rows}
+    assert got[1000][0] == 2 and got[5000][1] == 1000
+    near = {}
+    for r in rabitq.search(df.where("vec_id < 5000")).collect():
+        near.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"]))
+    assert [v for _, v in sorted(near[1000])] == [1020, 1040] and [v for _, v in sorted(near[1040])] == [1020, 1000]
+    assert len(near[20]) == 20 and {v for _, v in near[20]} <= set(range(30))
+
+
+def test_mixed_documents_keep_columns_of_any_name(spark):
+    names = ["mix_total", "mix_own", "mix_copies", "mix_number", "mix_rows", "mix_key", "mix_copy", "mix_row", "mix_hash", "a.b"]
+    rows = [(k, prose(20 + k % 7), f"s{k % 2}", *[f"{n}{k}" for n in names]) for k in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join(f"`{n}` string" for n in names))
+    got = mixing.mixed_documents(df)
+    assert got.columns == df.columns and got.count() > 20
+    assert {tuple(r) for r in got.collect()} <= set(rows)
