@@ -135,10 +135,20 @@ def bucket_links(dealt: DataFrame, threshold: float) -> DataFrame:
 
 
 def embedding_links(rows: DataFrame, threshold: float = THRESHOLD, rotations: int = ROTATIONS, substrings: int = SUBSTRINGS, block: int = BLOCK) -> DataFrame:
-    """As ``bucket_links``, for rows (id, n, v) of different vectors with ``n`` copies each.
+    """As ``bucket_links``, for rows (id, n, v) of different vectors with ``n`` copies each; vectors
+    of each dimension are compared among themselves.
 
     A bucket of more than ``block`` rows is cut into pieces, and every two pieces meet in a task
     of their own."""
+    parts = [_links(part, threshold, rotations, substrings, block) for part in by_dimension(rows) or [rows]]
+    links = parts[0]
+    for part in parts[1:]:
+        links = links.unionByName(part)
+    return links
+
+
+def _links(rows: DataFrame, threshold: float, rotations: int, substrings: int, block: int) -> DataFrame:
+    """``embedding_links`` for vectors of one dimension."""
     x = sample(rows)
     if not len(x):
         return rows.sparkSession.createDataFrame([], "id long, other long, n long")
@@ -172,11 +182,7 @@ def embedding_groups(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFr
     """
     found = cut(clean(vectors).withColumn("v", in_range(F.col("v"))))
     classes = cut(found.groupBy("v").agg(F.min("id").alias("id"), F.count("*").alias("n")))
-    parts = by_dimension(classes) or [classes]
-    links = embedding_links(parts[0], threshold)
-    for part in parts[1:]:
-        links = links.unionByName(embedding_links(part, threshold))
-    links = cut(links)
+    links = cut(embedding_links(classes, threshold))
     roots = connected_components(links.where("other is not null").select(F.col("id").alias("a"), F.col("other").alias("b")))
     counts = links.where("other is null").groupBy("id").agg(F.sum("n").alias("links"))
     named = classes.join(counts, "id", "left").join(roots, classes["id"] == roots["node"], "left")
