@@ -35,8 +35,6 @@ KEPT, AGREEING = 30, 19
 BITS, CHUNK = 40, 500_000
 #: Lines of a bucket that are compared all with all, and lines from which a bucket counts as hot.
 SMALL, HOT = 8, 10_000
-#: Lines in a block of a bucket that is closed in full.
-BLOCK = 512
 
 _ODD = np.random.default_rng(5).integers(0, 2**64, 64, dtype=np.uint64) | np.uint64(1)
 _LOW = np.uint64(2**BITS - 1)
@@ -248,95 +246,58 @@ def similar(pairs: DataFrame, lines: DataFrame, threshold: float) -> DataFrame:
     return texts.select("a", "b", "line_a", "line_b").mapInArrow(run, "a long, b long")
 
 
-def _candidates(asking: list[tuple], others: list[tuple]) -> np.ndarray:
-    """How many kept values the sketches of each two lines do not share; 255 within a component."""
-    mask = np.uint64(0x5555555555555555 >> (64 - 2 * KEPT))
-    column = lambda some, i: np.array([x[i] for x in some], np.int64)
-    unlike = np.zeros((len(asking), len(others)), np.uint8)
-    for i in (3, 4):
-        x, y = column(asking, i).view(np.uint64)[:, None], column(others, i).view(np.uint64)[None]
-        apart = x ^ y
-        unlike = np.maximum(unlike, np.where((x == 0) | (y == 0), 0, np.bitwise_count((apart | apart >> np.uint64(1)) & mask)))
-    unlike[column(asking, 2)[:, None] == column(others, 2)[None]] = 255
-    return unlike
-
-
-def _likeliest(asking: list[tuple], others: list[tuple], band: int, threshold: float) -> list[tuple[int, int]]:
-    """Each asking line with the one that its sketch is nearest to."""
-    unlike = _candidates(asking, others)
-    first = unlike.argmin(1)
-    return [(asking[i][1], others[j][1]) for i, j in enumerate(first.tolist()) if unlike[i, j] <= KEPT - AGREEING]
-
-
-def _alike(asking: list[tuple], others: list[tuple], band: int, threshold: float) -> list[tuple[int, int]]:
-    """Links between all lines whose sketches allow it, enough of them to join their components.
-    A pair is compared in the first bucket that both lines share."""
-    i, j = np.nonzero(_candidates(asking, others) <= KEPT - AGREEING)
-    width = max(len(x[5]) for x in (*asking, *others))
-    one, two = (np.array([x[5] + [0] * (width - len(x[5])) for x in some], np.int64) for some in (asking, others))
-    sets: dict[int, np.ndarray] = {}
-    parent: dict[int, int] = {}
-
-    def top(x: int) -> int:
-        while parent.setdefault(x, x) != x:
-            parent[x] = x = parent[parent[x]]
-        return x
-
-    links = []
-    for start in range(0, len(i), 4096):
-        x, y = i[start : start + 4096], j[start : start + 4096]
-        shared = (one[x][:, :, None] == two[y][:, None, :]).any(2) & (one[x] != 0)
-        mine = one[x, shared.argmax(1)] == band
-        for a, b in zip(x[mine].tolist(), y[mine].tolist()):
-            a, b = asking[a], others[b]
-            if top(a[2]) == top(b[2]):
-                continue
-            for row in (a, b):
-                if row[1] not in sets:
-                    sets[row[1]] = _distinct(shingle_hashes([row[6]])[1])
-            p, q = sets[a[1]], sets[b[1]]
-            if min(len(p), len(q)) < threshold * max(len(p), len(q)):
-                continue
-            both = np.sort(np.concatenate([p, q]))
-            n = int((both[1:] == both[:-1]).sum())
-            if n >= threshold * (len(p) + len(q) - n):
-                links.append((a[1], b[1]))
-                parent[top(a[2])] = top(b[2])
-    return links
-
-
-def met_in_blocks(rows: DataFrame, meet, threshold: float) -> DataFrame:
-    """Rows (a, b): what ``meet`` finds between the lines of a block that ask and the others.
-
-    ``rows`` holds (band, block, asks, k, root, short, long, bands, line)."""
+def shingle_sets(lines: DataFrame) -> DataFrame:
+    """Rows (k, size, shingle): the different shingles of the lines (k, line), by 52-bit hash."""
+    place, low = np.uint64(52), np.uint64(2**52 - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, held = (None, None), []
-        pairs: list[tuple[int, int]] = []
-
-        def close() -> None:
-            asking, others = [x for x in held if x[0]], [x for x in held if not x[0]]
-            if asking and others:
-                pairs.extend(meet(asking, others, at[0], threshold))
-
-        def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([f(x) for x in pairs], pa.int64()) for f in (min, max)], names=["a", "b"])
-
+        release()
         for batch in batches:
-            for band, block, *row in zip(*(c.to_pylist() for c in batch.columns)):
-                if (band, block) != at:
-                    close()
-                    at, held = (band, block), []
-                held.append(tuple(row))
-            if len(pairs) > 10_000:
-                yield out()
-                pairs.clear()
-        close()
-        yield out()
-
-    group = ["band", "block"]
-    placed = rows.select(*group, "asks", "k", "root", "short", "long", "bands", "line").repartition(parallelism(rows), *group).sortWithinPartitions(*group)
-    return placed.mapInArrow(run, "a long, b long").distinct()
+            for i in range(0, batch.num_rows, 1024):
+                some, done = batch.slice(i, 1024), 0
+                for part in _shorter(some.column(1).to_pylist()):
+                    owner, hashes = shingle_hashes(part)
+                    keys = _distinct((owner.astype(np.uint64) << place) | (hashes >> np.uint64(12)))
+                    size = np.bincount((keys >> place).astype(np.int64), minlength=len(part))
+                    ends = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+                    sets = pa.ListArray.from_arrays(pa.array(ends), pa.array((keys & low).view(np.int64)))
+                    yield pa.RecordBatch.from_arrays([some.column(0).slice(done, len(part)), pa.array(size), sets], names=["k", "size", "shingles"])
+                    done += len(part)
+
+    sets = lines.select("k", "line").mapInArrow(run, "k long, size long, shingles array<long>")
+    return sets.select("k", "size", F.explode("shingles").alias("shingle"))
+
+
+def closing_links(open_lines: DataFrame, lines: DataFrame, threshold: float) -> DataFrame:
+    """Rows (a, b): all links that join the components of the lines (k, root, asks), each with
+    at least one end that asks.
+
+    The pairs to compare come from an exact prefix filter. Each line's shingles are ordered by
+    how many of these lines have them, the rarest first. Two sets with a similarity of at least
+    t share one among the first |x| - ceil(t |x|) + 1 of the larger and the first
+    |y| - ceil(2 t / (1 + t) |y|) + 1 of the smaller, and from the first one shared there are
+    enough left on either side. What lines have in common with very many others is not among
+    these, so a common head or tail makes no pairs.
+    """
+    sets = cut(shingle_sets(open_lines.join(lines, "k")))
+    counts = sets.groupBy("shingle").agg(F.count("*").alias("lines"))
+    ordered = sets.join(counts, "shingle").withColumn("place", F.row_number().over(W.partitionBy("k").orderBy("lines", "shingle")))
+    within = lambda share: F.col("place") <= F.col("size") - F.ceil(F.col("size") * share - 1e-9) + 1
+    prefixes = cut(ordered.where(within(threshold) & (F.col("lines") > 1)).join(open_lines, "k"))
+    side = lambda x, rows: rows.select("shingle", *(F.col(c).alias(f"{c}_{x}") for c in ("k", "size", "place", "root", "asks")))
+    larger, smaller = side("x", prefixes), side("y", prefixes.where(within(2 * threshold / (1 + threshold))))
+    left = F.least(F.col("size_x") - F.col("place_x"), F.col("size_y") - F.col("place_y")) + 1
+    met = larger.join(smaller, "shingle").where(
+        (F.col("root_x") != F.col("root_y"))
+        & (F.col("asks_x") | F.col("asks_y"))
+        & (F.col("size_y") <= F.col("size_x"))
+        & (F.col("size_y") >= F.col("size_x") * threshold - 1e-9)
+        & (left >= (F.col("size_x") + F.col("size_y")) * (threshold / (1 + threshold)) - 1e-9)
+    )
+    pairs = met.select(F.least("k_x", "k_y").alias("a"), F.greatest("k_x", "k_y").alias("b")).distinct()
+    links = cut(similar(pairs, lines, threshold))
+    discard(sets, prefixes)
+    return links
 
 
 def line_links(lines: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -344,9 +305,8 @@ def line_links(lines: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     Lines of a bucket are compared with its least key, those of a small bucket all with all;
     pairs whose signatures have too few values in common are not. Large buckets that this leaves
-    in several components are closed: every line outside a bucket's largest component meets
-    the one that its signature is nearest to, and if it is still outside, all others, block by
-    block.
+    in several components are closed exactly: every line outside a bucket's largest component
+    finds all lines of such buckets that it is alike.
     """
     signed = cut(signatures(lines), "k")
     members = placed_in_buckets(signed.select("k", F.explode("bands").alias("band")))
@@ -360,26 +320,16 @@ def line_links(lines: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     links = cut(similar(near, lines, threshold))
     roots = connected_components(links)
 
-    large = cut(members.where(f"n > {SMALL}").select("k", "band", "n"))
-    discard(members)
-    for meet in (_likeliest, _alike):
-        rooted = large.join(roots, large["k"] == roots["node"], "left").select("k", "band", "n", F.coalesce("root", "k").alias("root"))
-        sizes = rooted.groupBy("band", "root").agg(F.count("*").alias("size"), F.max("n").alias("n"))
-        parted = sizes.groupBy("band").agg(F.max(F.struct("size", "root"))["root"].alias("main"), F.count("*").alias("parts"), (F.floor(F.max("n") / BLOCK) + 1).cast("int").alias("blocks"))
-        dealt = rooted.join(parted.where("parts > 1"), "band")
-        # The likeliest partners are few and compared later; the rest is compared where it meets.
-        if meet is _likeliest:
-            unused = {"bands": F.lit(None).cast("array<long>"), "line": F.lit(None).cast("string")}
-            dealt = dealt.join(signed.select("k", "short", "long"), "k").withColumns(unused)
-        else:
-            dealt = dealt.join(signed, "k").join(lines, "k")
-        own = dealt.withColumn("block", F.pmod(F.xxhash64("k", F.lit(7)), F.col("blocks")).cast("int")).withColumn("asks", F.lit(False))
-        asking = dealt.where("root <> main").withColumn("block", F.explode(F.expr("sequence(0, blocks - 1)"))).withColumn("asks", F.lit(True))
-        met = met_in_blocks(own.unionByName(asking), meet, threshold)
-        links = cut(links.unionByName(similar(met, lines, threshold) if meet is _likeliest else met))
-        roots = connected_components(links)
-    discard(signed, large)
-    return roots
+    large = cut(members.where(f"n > {SMALL}").select("k", "band"))
+    discard(members, signed)
+    rooted = large.join(roots, large["k"] == roots["node"], "left").select("k", "band", F.coalesce("root", "k").alias("root"))
+    sizes = rooted.groupBy("band", "root").agg(F.count("*").alias("size"))
+    parted = sizes.groupBy("band").agg(F.max(F.struct("size", "root"))["root"].alias("main"), F.count("*").alias("parts")).where("parts > 1")
+    open_lines = cut(rooted.join(parted, "band").groupBy("k", "root").agg(F.bool_or(F.col("root") != F.col("main")).alias("asks")))
+    discard(large)
+    closing = closing_links(open_lines, lines, threshold)
+    discard(open_lines)
+    return connected_components(links.unionByName(closing))
 
 
 def lost_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

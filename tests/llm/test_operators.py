@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import public_tokenizers as tokenizers
@@ -179,13 +180,32 @@ def test_a_bucket_of_chained_lines_is_closed(spark, monkeypatch):
     none = F.lit(0).cast("long")
     one = lambda x: x.select("k", none.alias("short"), none.alias("long"), F.array(F.lit(1).cast("long")).alias("bands"))
     monkeypatch.setattr(lines, "signatures", one)
-    monkeypatch.setattr(lines, "BLOCK", 40)
     stays = {i for i, _ in plain_lines(rows)}
     for hot in (lines.HOT, 64):  # the bucket is hot or not
         monkeypatch.setattr(lines, "HOT", hot)
         assert {r["doc_id"] for r in lines.line_report(table(spark, rows)).collect() if r["n_kept"]} == stays
 
 
+def test_lines_with_a_common_head_make_no_pairs(spark):
+    """Unlike lines that share bands are told apart by their rare shingles; alike ones are found."""
+    rng = random.Random(13)
+    head = prose(30, rng)[:77]
+    texts = [head + "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(16)) for _ in range(3000)]
+    rows = [(i, x, "s") for i, x in enumerate(texts)] + [(5000 + i, texts[i] + "!", "s") for i in range(0, 3000, 50)]
+    began = time.monotonic()
+    got = {r["doc_id"] for r in lines.line_report(table(spark, rows)).collect() if r["n_kept"]}
+    assert got == set(range(3000)) and time.monotonic() - began < 60
+    # The pairs compared are few, though all lines are open to each other.
+    every = table(spark, rows).select(F.col("doc_id").alias("k"), F.col("text").alias("line"))
+    asked = []
+    with pytest.MonkeyPatch.context() as patch:
+        similar = lines.similar
+        patch.setattr(lines, "similar", lambda pairs, *more: asked.append(pairs.count()) or similar(pairs, *more))
+        found = lines.closing_links(every.select("k", F.col("k").alias("root"), F.lit(True).alias("asks")), every, 0.8)
+        assert {(r["a"], r["b"]) for r in found.collect()} == {(i, 5000 + i) for i in range(0, 3000, 50)}
+    assert asked[0] < 3000
+
+
 def test_lines_repeats_nulls_and_nothing(spark):
     out = lines.line_report(table(spark, [(1, "same\nline", "s"), (1, "same\nline", "s"), (None, "same", "s")])).collect()
     assert sorted((r["n_lines"], r["n_kept"]) for r in out) == [(1, 1), (2, 2), (2, 2)]
