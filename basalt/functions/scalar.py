@@ -41,7 +41,7 @@ def normal_locus(c: Column) -> Column:
 
 
 def slug(c: Column, size: int = 60) -> Column:
-    return F.substring(F.regexp_replace(F.lower(F.trim(c)), "[^a-z0-9]+", "-"), 1, size)
+    return F.substring(F.btrim(F.regexp_replace(F.lower(c), "[^a-z0-9]+", "-"), F.lit("-")), 1, size)
 
 
 def split_list(c: Column, separators: str = r"[,|]") -> Column:

@@ -53,11 +53,14 @@ def contacts(left: DataFrame, right: DataFrame, structure: str, radius: float, a
 
 
 def upsert_nodes(rows: DataFrame) -> DataFrame:
-    """First row of every node id, its name filled by the first that is not blank."""
-    named = rows.where(F.trim(F.coalesce("name", F.lit(""))) != "")
-    first = first_per_key(rows, ["id"], [F.col("pos")]).select("id", "type", "pos")
-    names = first_per_key(named, ["id"], [F.col("pos")]).select("id", "name")
-    return first.join(names, "id", "left")
+    """First row of every node id by ``pos``, its name filled by the first that is not blank.
+
+    Columns beside id, type, name and pos are the first row's, too. One shuffle: a node that many
+    rows mention is reduced before it."""
+    others = [c for c in rows.columns if c not in ("id", "name")]
+    named = F.when(F.trim(F.coalesce("name", F.lit(""))) != "", F.col("pos"))
+    found = rows.groupBy("id").agg(F.min_by(F.struct(*others), "pos").alias("first"), F.min_by("name", named).alias("name"))
+    return found.select("id", *(F.col(f"first.{c}").alias(c) for c in others), "name")
 
 
 def checks_pass(checks: Column) -> Column:
