@@ -1,4 +1,4 @@
-"""Merged annotations and the knowledge graph, bound to the benchmark tables with their SQL."""
+"""Merged annotations, the knowledge graph and rescored runs, bound to the benchmark tables with their SQL."""
 
 from __future__ import annotations
 
@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from basalt.operators.best import top_per_key
 from basalt.plans import annotation as A
 from basalt.plans import graph as G
+from basalt.plans import rescoring as R
 from basalt.plans.queries import Tables, query
-from basalt.plans.triage import SOURCE_RANK
+from basalt.plans.triage import PROFILES, SOURCE_RANK, Profile
 
 #: Events as what providers say of users: the same expressions in Spark and in SQL.
 SAID = {
@@ -122,3 +123,40 @@ UNION ALL SELECT 'ChEMBL', 'target', 'N' || s_nationkey, 'S' || s_suppkey || ' d
 UNION ALL SELECT 'ChEMBL', 'activity', 'S' || s_suppkey, 'no reply is kept' FROM k WHERE s_suppkey NOT IN (SELECT l_suppkey FROM lineitem)""")
 def graph_failures(t: Tables) -> DataFrame:
     return _graph(t)[2]
+
+
+# -- recorded runs ---------------------------------------------------------------------------
+
+#: Parts as proteins of a finished run, some components as text: the same expressions in Spark and in SQL.
+RECORDED = {
+    "feature_id": "p_partkey", "product": "p_name", "rank": "p_partkey + 1", "score": "p_retailprice", "selected": "p_partkey % 4 = 0", "human_identity_pct": "CASE WHEN p_partkey % 3 = 0 THEN p_size + 0.25D0 END",
+    "distinct_entries": "p_partkey % 6", "pdb_evidence": "CAST(p_size AS DOUBLE) / 50", "virulence_amr": "CASE WHEN p_type LIKE 'PROMO%' THEN 1.0D0 ELSE 0.5D0 END", "essential": "CASE WHEN p_partkey % 5 = 0 THEN 1.0D0 ELSE 0.0D0 END",
+    "drug_target": "CASE p_partkey % 3 WHEN 0 THEN '1.0' WHEN 1 THEN 'n/a' ELSE '' END", "annotation_gap": "CASE WHEN p_partkey % 7 = 0 THEN 1.0D0 END", "surface_bonus": "0.0D0",
+    "ligandable_homolog": "CASE WHEN p_brand = 'Brand#11' THEN 1.0D0 ELSE 0.0D0 END", "membrane_penalty": "CASE WHEN p_partkey % 4 = 1 THEN 1.0D0 ELSE 0.0D0 END", "human_homolog_penalty": "CAST(p_partkey % 50 AS DOUBLE) / 50",
+}
+_READ = f"SELECT {', '.join(f'{x.replace("D0", "::DOUBLE")} AS {n}' for n, x in RECORDED.items())} FROM part"
+
+
+def _rescored_sql(profile: Profile, n: int) -> str:
+    parts = " + ".join(f"coalesce(TRY_CAST({c} AS DOUBLE), 0.0) * ({w!r}::DOUBLE)" for c, w in profile.weights.items())
+    barred = "coalesce(human_identity_pct >= 40, FALSE)" if profile.disqualify_human_homologs else "FALSE"
+    return f"""r AS ({_READ}), s AS (SELECT *, round({parts}, 6) AS new_score, {barred} AS barred FROM r), k AS (SELECT *, row_number() OVER w AS new_rank, sum(CASE WHEN barred THEN 0 ELSE 1 END) OVER (w ROWS UNBOUNDED PRECEDING) AS taken
+FROM s WINDOW w AS (ORDER BY new_score DESC, pdb_evidence DESC, distinct_entries DESC, feature_id)), z AS (SELECT *, NOT barred AND taken <= {n} AS chosen FROM k)"""
+
+
+def _recorded(t: Tables) -> DataFrame:
+    return t.part.select(*(F.expr(x.replace("D0", "D")).alias(n) for n, x in RECORDED.items()))
+
+
+@query(f"""WITH {_rescored_sql(PROFILES["bacterial-target"], 80)} SELECT new_rank AS rank, feature_id, new_score AS score, chosen AS selected, rank AS original_rank,
+CASE WHEN barred THEN printf('human homolog %.1f%% identity', human_identity_pct) ELSE '' END AS disqualified FROM z""")
+def rescored_run(t: Tables) -> DataFrame:
+    return R.rescore(_recorded(t), PROFILES["bacterial-target"], 80).select("rank", "feature_id", "score", "selected", "original_rank", "disqualified")
+
+
+@query(f"""WITH {_rescored_sql(PROFILES["evidence-only"], 80)} SELECT unnest(['proteins', 'selected', 'selected_before', 'overlap', 'entered', 'left', 'disqualified', 'moved', 'furthest']) AS name, unnest([count(*), count(*) FILTER (WHERE chosen), count(*) FILTER (WHERE selected),
+count(*) FILTER (WHERE chosen AND selected), count(*) FILTER (WHERE chosen AND NOT selected), count(*) FILTER (WHERE selected AND NOT chosen), count(*) FILTER (WHERE barred), count(*) FILTER (WHERE new_rank <> rank), max(abs(new_rank - rank))])::DOUBLE AS value FROM z
+UNION ALL SELECT unnest({["top_n", "disqualify_human_homologs", *(f"weight:{c}" for c in PROFILES["evidence-only"].weights)]}), unnest({[80.0, 0.0, *map(float, PROFILES["evidence-only"].weights.values())]})::DOUBLE""")
+def rescore_manifest(t: Tables) -> DataFrame:
+    profile = PROFILES["evidence-only"]
+    return R.manifest(R.rescore(_recorded(t), profile, 80), profile, 80)
