@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from basalt.functions.scalar import matches, meaningful
+from basalt.functions.scalar import fixed, matches, meaningful
 
 #: Host-interaction categories in reporting order, each with its product pattern. Fixed values.
 MECHANISMS = (
@@ -85,7 +85,7 @@ def organism_of(defline: Column) -> Column:
 
 def percent(share: Column) -> Column:
     """A share as whole per cent; a dash where nothing is known."""
-    return F.when(share.isNotNull(), F.format_string("%.0f%%", share.cast("double") * 100)).otherwise("—")
+    return F.when(share.isNotNull(), F.concat(fixed(share.cast("double") * 100, 0), F.lit("%"))).otherwise("—")
 
 
 def atom_type(name: Column, residue: Column, element: Column) -> Column:

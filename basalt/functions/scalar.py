@@ -115,6 +115,33 @@ def same_genus(a: Column, b: Column, ratio: float = 0.75, least: int = 6) -> Col
     return (F.length(a) > 0) & (F.length(b) > 0) & ((a == b) | renamed)
 
 
+def fixed(c: Column, digits: int) -> Column:
+    """A number's text with so many digits after the point, at most 8, as C and Python print it: the
+    nearest of the double's exact value, a true tie to the even digit. ``format_string`` rounds the
+    shortest text of the double instead, halves up: 137.45 lies below its text."""
+    size = F.abs(c)
+    whole = F.floor(size)
+    # The fraction in two parts of 40 bits, so that ten times either is exact.
+    base, part = 2**40, F.lit(2**40 - 1)
+    scaled = (size - whole) * float(base)
+    high = F.floor(scaled)
+    low = F.floor((scaled - high) * float(base))
+    shown = F.lit(0).cast("long")
+    for _ in range(digits):
+        high, low = high * 10 + F.shiftright(low * 10, 40), (low * 10).bitwiseAND(part)
+        shown, high = shown * 10 + F.shiftright(high, 40), high.bitwiseAND(part)
+    last = shown if digits else whole
+    up = (high > base // 2) | ((high == base // 2) & ((low > 0) | (last % 2 == 1)))
+    shown = shown + up.cast("long")
+    carried = F.when(shown >= 10**digits, 1).otherwise(0) if digits else shown
+    text = (whole + carried).cast("string")
+    if digits:
+        text = F.concat(text, F.lit("."), F.lpad((shown % 10**digits).cast("string"), digits, "0"))
+    sign = F.when(c.cast("string").startswith("-"), "-").otherwise("")
+    # From 2**53 on there are no fractions.
+    return F.when(size >= 2.0**53, F.format_string(f"%.{digits}f", c)).otherwise(F.concat(sign, text))
+
+
 # -- hashes ----------------------------------------------------------------------------------
 
 _CRC64_POLYNOMIAL = 0xD800000000000000

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basalt.functions.scalar import as_float
+from basalt.functions.scalar import as_float, fixed
 from basalt.operators.best import rank_select
 from basalt.plans.triage import CLOSE_HUMAN_IDENTITY, WEIGHTS, Profile
 
@@ -25,7 +25,7 @@ def rescore(recorded: DataFrame, profile: Profile, n: int = 50) -> DataFrame:
     zero = lambda c: F.coalesce(as_float(F.col(c)), F.lit(0.0))
     pct = as_float(F.col("human_identity_pct"))
     barred = (pct >= CLOSE_HUMAN_IDENTITY) if profile.disqualify_human_homologs else F.lit(False)
-    why = F.when(barred, F.concat(F.lit("human homolog "), F.format_string("%.1f%%", F.bround(pct, 1)), F.lit(" identity"))).otherwise("")
+    why = F.when(barred, F.concat(F.lit("human homolog "), fixed(pct, 1), F.lit("% identity"))).otherwise("")
     read = recorded.select(
         "feature_id", "product", F.col("rank").alias("original_rank"), F.col("score").alias("original_score"), F.lower(F.col("selected").cast("string")).eqNullSafe("true").alias("original_selected"),
         why.alias("disqualified"), zero("distinct_entries").alias("_entries"), *(zero(c).alias(c) for c in WEIGHTS),

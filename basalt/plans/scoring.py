@@ -121,7 +121,7 @@ def reason() -> Column:
     """A sentence for every row of ``rank_proteins``, kept or not."""
     col = F.col
     percent = lambda c: F.format_string("%.0f%%", F.bround(c * 100, 0))
-    resolution = F.coalesce(F.format_string(", %.2f A", "resolution"), F.lit(""))
+    resolution = F.concat(F.lit(", "), S.fixed(col("resolution"), 2), F.lit(" A"))
     hit = F.concat(F.lit("PDB "), col("entry_id").cast("string"), F.lit(" identity "), percent(col("identity")), F.lit(", coverage "), percent(col("query_coverage")), F.when(col("resolution").isNotNull(), resolution).otherwise(""))
     parts = [
         F.when(col("hit_score").isNotNull(), hit).when(col("search_failed"), "PDB search failed; no structural evidence recorded").otherwise("no qualifying PDB hit"),
@@ -145,7 +145,7 @@ def rank_proteins(scored: DataFrame, n: int, profile: G.Profile = G.PROFILES["ba
     """``score_proteins`` with score, rank, selection, ``disqualified_why`` and ``reason``."""
     ranked = G.triage(scored, n, profile, run)
     source = F.when(F.col("human_homolog_source") != "", F.col("human_homolog_source")).otherwise("unknown source")
-    why = F.when(F.col("disqualified"), F.concat(F.lit("human homolog "), F.format_string("%.1f%%", "human_identity_pct"), F.lit(" identity ("), source, F.lit(")"))).otherwise("")
+    why = F.when(F.col("disqualified"), F.concat(F.lit("human homolog "), S.fixed(F.col("human_identity_pct"), 1), F.lit("% identity ("), source, F.lit(")"))).otherwise("")
     return ranked.withColumn("disqualified_why", why).withColumn("reason", reason())
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from basalt.functions.scalar import fixed
 from basalt.operators.aggregates import contacts
 
 #: Reach of a contact, residues of a site at least, and its least mean confidence. Fixed values.
@@ -62,7 +63,7 @@ def holo_sites(atoms: DataFrame, templates: DataFrame, chains: DataFrame, radius
     found = sites.join(copies, ["structure", "copy"]).join(metals, "structure", "left").join(wanted.select("structure", "source"), "structure")
     model = (F.col("source") == "afdb") & F.col("mean_b").isNotNull()
     poor = F.coalesce(model & (F.col("mean_b") < min_plddt), F.lit(False))
-    why = F.format_string(f"mean pLDDT %.1f over the site's own residues is below {min_plddt:.0f}", "mean_b")
+    why = F.concat(F.lit("mean pLDDT "), fixed(F.col("mean_b"), 1), F.lit(f" over the site's own residues is below {min_plddt:.0f}"))
     order = [F.col("kind") != "ligand", F.desc("n_residues"), F.col("first")]
     return found.select(
         "structure", F.concat("copy.component", F.lit("_"), "copy.chain", F.coalesce("copy.auth_seq_id", F.lit(""))).alias("site"), F.row_number().over(W.partitionBy("structure").orderBy(*order)).alias("rank"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basalt.functions.scalar import organism_key
+from basalt.functions.scalar import fixed, organism_key
 from basalt.operators.best import first_per_key
 from basalt.operators.lineage import at_rank
 from basalt.operators.organisms import one_genus, one_species
@@ -44,7 +44,7 @@ def call_taxa(runs: DataFrame, hits: DataFrame, taxa: DataFrame) -> DataFrame:
     joined = joined.join(taxa.select(F.col("taxon").alias("called"), F.col("name").alias("called_name")), "called", "left")
     reason = (
         F.when(F.col("genome").isNull() & F.col("distance").isNull(), "no hits")
-        .when(F.col("rank").isNull(), F.concat(F.lit("the nearest genome is at "), F.coalesce(F.format_string("%.4f", "distance"), F.lit("no distance")), F.lit(", beyond every cut-off")))
+        .when(F.col("rank").isNull(), F.concat(F.lit("the nearest genome is at "), F.coalesce(fixed(F.col("distance"), 4), F.lit("no distance")), F.lit(", beyond every cut-off")))
         .when(F.col("hit_taxon").isNull(), "the nearest genome has no taxon")
         .when(F.col("known").isNull(), "the taxon is not known")
         .when(F.col("called").isNull(), F.concat(F.lit("the lineage has no "), "rank"))
