@@ -251,7 +251,9 @@ def role_bindings(t: Tables) -> DataFrame:
     roles = t.lineitem.groupBy("l_suppkey", "l_returnflag").agg(F.collect_set("l_partkey").alias("features"))
     nested = roles.groupBy("l_suppkey").agg(F.collect_list(F.struct(F.col("l_returnflag").alias("role_id"), "features")).alias("role_bindings"))
     out = X.role_bindings(nested.select(F.format_string("%03d", "l_suppkey").alias("name"), F.array(F.lit("c")).alias("classification"), "role_bindings"))
-    return out.select("feature_id", F.array_join(F.transform("bindings", lambda x: F.concat(x["name"], F.lit(":"), x["role"])), ",").alias("bindings"))
+    # The texts have an order of their own: 1000:A comes before 100:A.
+    texts = F.array_sort(F.transform("bindings", lambda x: F.concat(x["name"], F.lit(":"), x["role"])))
+    return out.select("feature_id", F.array_join(texts, ",").alias("bindings"))
 
 
 @query(f"""SELECT p.feature_id, count(s.feature_id) AS n, max(TRY_CAST(s.identity AS DOUBLE)) AS most, any_value(k.c) AS hit_count

@@ -27,6 +27,17 @@ def test_numbers_are_rounded_by_their_exact_value(spark):
     assert spark.range(1).select(R.percent(F.lit(0.125)).alias("t")).first()["t"] == "12%"
 
 
+def test_bindings_are_ordered_as_texts(spark, tmp_path):
+    folder = str(tmp_path)
+    rows = [(7, 100, "A"), (7, 1000, "A"), (7, 99, "R"), (7, 100, "R"), (7, 100, "A"), (8, 5, "N")]
+    spark.createDataFrame(rows, "l_partkey long, l_suppkey long, l_returnflag string").write.parquet(f"{folder}/lineitem.parquet")
+    got = sorted(map(tuple, core.QUERIES["role_bindings"](spark, folder).collect()))
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW lineitem AS SELECT * FROM '{folder}/lineitem.parquet/*.parquet'")
+    assert got == sorted(duck.execute(core.ORACLE_SQL["role_bindings"]).fetchall())
+    assert got[0] == (7, "099:R,1000:A,100:A,100:R")
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="benchmark tables are absent")
 @pytest.mark.parametrize("name", ["full_scores"])
 def test_larger_tables_agree_with_sql(spark, name):
