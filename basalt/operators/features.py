@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from basalt.functions.scalar import as_float
 from basalt.operators.best import first_per_key
 from basalt.operators.keyed import once, refuse, repeated
+from basalt.operators.staging import staged
 
 
 def role_bindings(subsystems: DataFrame) -> DataFrame:
@@ -31,6 +32,30 @@ def specialty_arrays(features: DataFrame, specialty: DataFrame, kmers: DataFrame
     return out.join(kmers.select("feature_id", F.struct(*(c for c in kmers.columns if c != "feature_id")).alias("kmer")), "feature_id", "left") if kmers is not None else out
 
 
+def first_words(texts: DataFrame, key: str, text: str, none: tuple[str, ...] = ("", "-")) -> DataFrame:
+    """Rows (key, word, pos): every word that spaces part in a key's texts, once, at its least place;
+    the words in ``none`` say nothing.
+
+    A text's words are told apart within its row. Only texts of keys that repeat are shuffled, and
+    then only each text's different words."""
+
+    def each(rows: DataFrame) -> DataFrame:
+        placed = F.transform(F.split(text, " "), lambda word, i: F.struct(word.alias("word"), i.cast("long").alias("pos")))
+        ordered = F.sort_array(F.filter(placed, lambda x: ~x["word"].isin(*none)))
+        # Bound to a name of its own, or the list would be made anew for every word.
+        first = F.transform(F.array(ordered), lambda words: F.filter(words, lambda x, i: (i == 0) | (F.get(words, i - 1)["word"] != x["word"])))
+        return rows.select(key, F.inline(F.get(first, 0)))
+
+    held = texts.select(key, text).where(F.col(text).isNotNull())
+    repeats = held.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_n")).where("_n > 1").select("_key")
+    if repeats.isEmpty():
+        return each(held)
+    repeats = staged(repeats)
+    among = held[key].eqNullSafe(repeats["_key"])
+    shared = each(held.join(repeats, among, "left_semi")).groupBy(key, "word").agg(F.min("pos").alias("pos"))
+    return each(held.join(repeats, among, "left_anti")).unionByName(shared)
+
+
 def overwrite_known(rows: DataFrame, key: str, metadata: DataFrame) -> DataFrame:
     """Rows with the metadata's values where it knows any, matched on the upper-cased key; an
     unmatched row keeps its own. Two metadata rows of one key, case aside, are an error for the

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from basalt.functions import scalar as S
 from basalt.functions.sequence import membrane_spans
 from basalt.operators import best as B
+from basalt.operators import features as X
 from basalt.operators import lineage as L
 from basalt.operators import trees as G
 from basalt.operators.naming import unique_ids
@@ -164,8 +165,7 @@ def pocket_selection(t: Tables) -> DataFrame:
 @query("""SELECT doc_id, word, pos FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS word, generate_subscripts(string_split(text, ' '), 1) - 1 AS pos FROM documents)
 WHERE word NOT IN ('', '-') QUALIFY row_number() OVER (PARTITION BY doc_id, word ORDER BY pos) = 1""")
 def terms_first_seen(t: Tables) -> DataFrame:
-    each = t.documents.select("doc_id", F.posexplode(F.split("text", " ")).alias("pos", "word")).where(~F.col("word").isin("", "-"))
-    return each.groupBy("doc_id", "word").agg(F.min("pos").cast("long").alias("pos"))
+    return X.first_words(t.documents, "doc_id", "text")
 
 
 @query("""SELECT page_id, regexp_extract(url, '^https?://([^/]+)', 1) AS host, regexp_extract(html, '<title>([^<]*)', 1) AS title,

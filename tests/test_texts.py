@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from basalt.functions import rules as R
 from basalt.functions import scalar as S
 from basalt.plans import queries as core
-from basalt.plans import feature_queries  # noqa: F401  registers its queries
+from basalt.plans import evidence_queries, feature_queries  # noqa: F401  register their queries
 
 SF = "/root/testdata/sf0.01"
 
@@ -48,3 +48,22 @@ def test_larger_tables_agree_with_sql(spark, name):
     want = duck.execute(core.ORACLE_SQL[name])
     names = [d[0] for d in want.description]
     assert sorted(map(repr, map(tuple, df.select(*names).collect()))) == sorted(map(repr, want.fetchall()))
+
+
+def test_first_words_of_unique_keys_are_not_shuffled(spark, tmp_path):
+    rows = [(1, "b a  b - a"), (2, ""), (3, None), (4, "Δ x Δ"), (5, "-")]
+    folder = str(tmp_path)
+    duck = duckdb.connect()
+
+    def check(name: str) -> str:
+        duck.execute(f"CREATE OR REPLACE VIEW documents AS SELECT * FROM '{folder}/{name}/documents.parquet/*.parquet'")
+        df = core.QUERIES["terms_first_seen"](spark, f"{folder}/{name}").select("doc_id", "word", "pos")
+        assert sorted(map(repr, map(tuple, df.collect()))) == sorted(map(repr, duck.execute(f"SELECT doc_id, word, pos FROM ({core.ORACLE_SQL['terms_first_seen']})").fetchall()))
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    schema = "doc_id long, text string"
+    spark.createDataFrame(rows, schema).write.parquet(f"{folder}/unique/documents.parquet")
+    assert "Exchange" not in check("unique")
+    again = [(1, "c b"), (1, "a"), (None, "x y"), (None, "y z x"), (3, "late"), (3, None)]
+    spark.createDataFrame(rows + again, schema).write.parquet(f"{folder}/repeated/documents.parquet")
+    check("repeated")
