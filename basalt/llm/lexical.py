@@ -106,8 +106,9 @@ def bisect(doc: np.ndarray, term: np.ndarray, n_docs: int, n_terms: int, levels:
         keys, cell, whole = np.unique(at[doc] * n_terms + term, return_inverse=True, return_counts=True)
         shared = whole > 1
         live = shared[cell]
-        seats = np.cumsum(shared) - 1
+        seats = (np.cumsum(shared) - 1).astype(np.int32)
         own, cell, keys, whole = doc[live], seats[cell[live]], keys[shared], whole[shared]
+        del live, seats, shared
         log_left, log_right = log_left[keys // n_terms], log_right[keys // n_terms]
         cost = lambda d, log_n: d * (log_n - np.log2(d + 1.0))
         for turn in range(rounds + 1):
@@ -191,15 +192,30 @@ class Tree:
         return cls(held["terms"].tobytes().split(), [held[f"v{k}"] for k in range(len(held.files) - 2)], held["shares"])
 
 
-def fit_tree(forward: DataFrame) -> Tree:
-    """The tree of at most ``SAMPLE`` documents, those of the least hashes, made in one task."""
-    chosen = forward.select(F.xxhash64("doc_id", "terms").alias("h"), "terms").orderBy("h").limit(SAMPLE)
+def sampled(forward: DataFrame, n_docs: int) -> DataFrame:
+    """Rows (h, terms) of at most ``SAMPLE`` of the ``n_docs`` documents, those of the least hashes.
+
+    Hashes are spread evenly: all but those under a bound that twice the sample stays below are left
+    out where they are read. A task would otherwise send as many rows as the whole sample has."""
+    hashed = forward.select(F.xxhash64("doc_id", "terms").alias("h"), "terms")
+    if n_docs > 2 * SAMPLE:
+        hashed = hashed.where(F.col("h") < -(2**63) + 2**64 // n_docs * 2 * SAMPLE)
+    return hashed.orderBy("h").limit(SAMPLE)
+
+
+def fit_tree(forward: DataFrame, n_docs: int) -> Tree:
+    """The tree of a sample of the ``n_docs`` documents (one at least), made in one task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [t.split() for batch in batches for t in batch.column(1).to_pylist()]
+        # A term that many documents share is one object.
+        known: dict[bytes, bytes] = {}
+        rows = [[known.setdefault(t, t) for t in text.as_py().split()] for batch in batches for text in batch.column(1)]
+        known.clear()
         yield pa.RecordBatch.from_pydict({"tree": pa.array([Tree.fit(rows).pack()] if rows else [], pa.binary())})
 
-    return Tree.unpack(chosen.coalesce(1).mapInArrow(run, "tree binary").first()["tree"])
+    fit = lambda n: sampled(forward, n).coalesce(1).mapInArrow(run, "tree binary").first()
+    # Rows that repeat a few documents may all have hashes above the bound.
+    return Tree.unpack((fit(n_docs) or fit(0))["tree"])
 
 
 # -- Index -----------------------------------------------------------------------------------
@@ -212,10 +228,10 @@ def numbered(terms: list[bytes], numbers: dict[bytes, int]) -> np.ndarray:
 
 def shard_rows(rows: list[tuple[int | None, int, np.ndarray, np.ndarray]], numbers: dict[bytes, int], name: str, n_docs: int, n_words: int) -> Iterator[dict]:
     """The shards of one group of documents (id, n, numbers of the terms, tf)."""
-    doc = np.repeat(np.arange(len(rows)), [len(r[2]) for r in rows])
-    term, tf = (np.concatenate([r[k] for r in rows]).astype(np.int64) for k in (2, 3))
+    doc = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r[2]) for r in rows])
+    term, tf = np.concatenate([r[2] for r in rows]), np.concatenate([r[3] for r in rows]).astype(np.int64)
     m = np.array([75 + 25 * n * n_docs // n_words for _, n, _, _ in rows], np.int64)
-    impact = 1_000_000_000 * tf // (1000 * tf + 12 * m[doc])
+    impact = (1_000_000_000 * tf // (1000 * tf + 12 * m[doc])).astype(np.int32)
     del tf
     order, borders, _ = bisect(doc, term, len(rows), len(numbers), None, SHARD_DOCS)
     place = np.empty(len(rows), np.int64)
@@ -234,9 +250,9 @@ def shard_rows(rows: list[tuple[int | None, int, np.ndarray, np.ndarray]], numbe
             "ids": ids[borders[k] : borders[k + 1]].T.tobytes(),
             "terms": [names[x] for x in t[new]],
             "df": np.diff(np.append(new, len(t))).astype(np.int32).tobytes(),
-            "best": np.maximum.reduceat(impact[low:high], new).astype(np.int32).tobytes(),
+            "best": np.maximum.reduceat(impact[low:high], new).tobytes(),
             "docs": (place[doc[low:high]] - borders[k]).astype(np.uint16).tobytes(),
-            "impact": impact[low:high].astype(np.int32).tobytes(),
+            "impact": impact[low:high].tobytes(),
         }
 
 
@@ -256,7 +272,7 @@ def build_index(docs: DataFrame) -> Index:
     spark = docs.sparkSession
     if not n_docs:
         return Index(spark.createDataFrame([], INDEX), 0, 0)
-    tree = fit_tree(forward)
+    tree = fit_tree(forward, n_docs)
     packed = spark.sparkContext.broadcast(tree.pack())
     salts = [max(1, math.ceil(n_docs * s / GROUP_DOCS)) for s in tree.shares.tolist()]
 
