@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import gc
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,17 +26,32 @@ def shared_dir(spark: SparkSession) -> str:
     return (named or f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch").rstrip("/")
 
 
-def cut(df: DataFrame, by: str | None = None) -> DataFrame:
+@contextmanager
+def settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    """Session settings (``__`` for a dot) for what runs inside, put back afterwards."""
+    values = {k.replace("__", "."): v for k, v in values.items()}
+    before = {k: spark.conf.get(k, None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def cut(df: DataFrame, by: str | None = None, group_bytes: int | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: the lineage ends there, a lost
     executor costs nothing that was finished, and later plans know the table's size.
 
     With ``by`` the table is bucketed on that column, so that joins and aggregations on it
-    need no further shuffle of this side."""
+    need no further shuffle of this side. ``group_bytes`` bounds the row groups, of which a task
+    holds one at a time."""
     spark = df.sparkSession
     name = f"cut_{uuid.uuid4().hex}"
     path = f"{shared_dir(spark)}/{name}"
     if by is None:
-        df.write.parquet(path)
+        (df.write if group_bytes is None else df.write.option("parquet.block.size", group_bytes)).parquet(path)
         back = spark.read.schema(df.schema).parquet(path)
     else:
         df.write.format("parquet").bucketBy(parallelism(df), by).option("path", path).saveAsTable(name)

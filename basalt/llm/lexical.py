@@ -25,7 +25,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basalt.llm.common import cut
+from basalt.llm.common import cut, settings
 from basalt.llm.divergence import pieces
 
 #: Results of a query.
@@ -43,6 +43,9 @@ SHARD_DOCS, ROUNDS = 256, 4
 FIRST_SHARDS = 2
 #: Bytes of queries that are sent to the tasks at once.
 BLOCK_BYTES = 4 << 20
+#: Shards that a task holds at once while it reads the index (each has some hundred KB), and bytes of
+#: the index's row groups.
+SHARDS_HELD, ROW_GROUP = 32, 16 << 20
 
 _TERMS = bytes(b if b >= 0x80 or chr(b).isdigit() or chr(b).islower() else b + 0x20 if chr(b).isupper() else 0x20 for b in range(256))
 
@@ -308,7 +311,7 @@ def build_index(docs: DataFrame) -> Index:
                 size += len(tf) // 4
         yield from flush()
 
-    return Index(cut(dealt.mapInArrow(build, INDEX)), n_docs, n_words)
+    return Index(cut(dealt.mapInArrow(build, INDEX), group_bytes=ROW_GROUP), n_docs, n_words)
 
 
 _ARROW_INDEX = pa.schema([("shard", pa.string()), ("ids", pa.binary()), ("terms", pa.list_(pa.binary())), ("df", pa.binary()), ("best", pa.binary()), ("docs", pa.binary()), ("impact", pa.binary())])
@@ -414,7 +417,16 @@ def _hits(results: list) -> pa.RecordBatch:
 
 def search_index(index: Index, texts: list[bytes], nearest: int = NEAREST) -> DataFrame:
     """Rows (query, rank, doc_id, score): the best documents of each of a bounded block of query
-    texts, numbered from 0, with exact scores."""
+    texts, numbered from 0, with exact scores.
+
+    Readers and Arrow count rows, and these are large: a task would hold all shards of its part of
+    the index. So few rows make a batch while the search runs, and its result is written."""
+    few = str(SHARDS_HELD)
+    with settings(index.shards.sparkSession, spark__sql__execution__arrow__maxRecordsPerBatch=few, spark__sql__parquet__columnarReaderBatchSize=few):
+        return cut(_found(index, texts, nearest))
+
+
+def _found(index: Index, texts: list[bytes], nearest: int) -> DataFrame:
     spark = index.shards.sparkSession
     queries = Queries(texts)
     asked = spark.sparkContext.broadcast(queries)

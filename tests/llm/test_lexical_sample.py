@@ -1,5 +1,6 @@
 """The sample that the lexical index is fitted on."""
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -26,3 +27,21 @@ def test_rows_that_repeat_one_document_have_a_tree(spark):
         items = spark.createDataFrame([("q", "two")], "item_id string, text string")
         found = lexical.ranked_search(docs, items).collect()
         assert [r["doc_id"] for r in found] == [doc] * lexical.NEAREST
+
+
+def test_few_shards_are_held_at_once(spark, monkeypatch):
+    monkeypatch.setattr(lexical, "SHARDS_HELD", 3)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", None)
+
+    def sizes(batches):
+        yield from ({"n": [b.num_rows]} for b in batches)
+
+    def held(index, texts, nearest):
+        batches = lambda it: (pa.RecordBatch.from_pydict(x) for x in sizes(it))
+        return index.shards.coalesce(1).mapInArrow(batches, "n long")
+
+    shards = spark.createDataFrame([(str(k),) for k in range(10)], "shard string")
+    monkeypatch.setattr(lexical, "_found", held)
+    found = lexical.search_index(lexical.Index(shards, 10, 10), [])
+    assert sum(r["n"] for r in found.collect()) == 10 and max(r["n"] for r in found.collect()) <= 3
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", None) == before
