@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 from collections.abc import Iterator
 from itertools import islice
+from operator import itemgetter
 
 import duckdb
 import numpy as np
@@ -17,8 +18,8 @@ from basalt.llm.common import kept
 
 #: White space as the tokenizers' pattern means it: the Unicode property, in place of ``\s``.
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-#: Distinct words that a Python worker remembers, and characters taken at once.
-CACHE, CHUNK = 300_000, 3_000_000
+#: Distinct words that a Python worker remembers in a generation, and characters taken at once.
+CACHE, CHUNK = 450_000, 3_000_000
 #: Bytes of a word from which it is contracted over tables that hold only the live state, and
 #: rows that all rounds of the recursion may leave for the shorter ones, at most.
 LONG, ROUND_ROWS = 256, 4_000_000
@@ -41,7 +42,7 @@ WITH RECURSIVE state AS (
     SELECT p.w, p.pos, CASE WHEN p.here = b.least THEN p.merged ELSE p.id END, p.round + 1
     FROM pairs p JOIN best b USING (w) WHERE p.pos <> b.gone)
 )
-SELECT w, pos, id FROM state QUALIFY round = max(round) OVER (PARTITION BY w)
+SELECT w, pos, id FROM state JOIN (SELECT w, max(round) AS round FROM state GROUP BY w) USING (w, round)
 """
 #: One round over table ``live``: of each word all pairs of its least rank, from the left and
 #: not overlapping, up to the first whose new neighbours would pair at a lesser rank. Words
@@ -157,7 +158,7 @@ class ByteBPE:
 
     def coded(self, parts: list[list[str]]) -> Iterator[tuple[bytes, bytes]]:
         """For each list of matches, its ids as little-endian 32-bit integers and its bytes."""
-        words = {x for part in parts for x in part}
+        words = set().union(*parts)
         if len(self.known) + len(words) > CACHE:  # what is not used again until the next time goes
             self.older, self.known = self.known, {}
         known, older = self.known, self.older
@@ -172,8 +173,8 @@ class ByteBPE:
         if missing:
             self.learn(sorted(missing))
         for part in parts:
-            found = [known[x] for x in part]
-            yield b"".join([x[0] for x in found]), b"".join([x[1] for x in found])
+            found = list(map(known.__getitem__, part))
+            yield b"".join(map(itemgetter(0), found)), b"".join(map(itemgetter(1), found))
 
 
 def loaded(path: str, pattern: str) -> ByteBPE:

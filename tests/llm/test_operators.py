@@ -301,6 +301,16 @@ def test_long_texts_and_forgetful_caches_change_nothing(monkeypatch):
     assert len(parts) > 5 and b"".join(x[0] for part in parts for x in coder.coded([part])) == whole
 
 
+def test_words_that_come_again_are_not_learnt_again(monkeypatch):
+    coder = bpe.ByteBPE(tokenizers.path("byte_bpe_50k.tiktoken"), tokenizers.PATTERN)
+    learnt: list[str] = []
+    monkeypatch.setattr(coder, "learn", lambda words: (learnt.extend(words), coder.known.update((x, (b"", b"")) for x in words)))
+    for start in (0, 200_000, 400_000, 0):  # between its uses the first lot sees 400,000 other words
+        for i in range(start, start + 200_000, 40_000):
+            list(coder.coded([[str(x) for x in range(i, i + 40_000)]]))
+    assert len(learnt) == 600_000
+
+
 def test_byte_bpe_of_matches_without_end():
     path = tokenizers.path("byte_bpe_50k.tiktoken")
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
