@@ -40,21 +40,22 @@ def settings(spark: SparkSession, **values: str) -> Iterator[None]:
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def cut(df: DataFrame, by: str | None = None, group_bytes: int | None = None) -> DataFrame:
+def cut(df: DataFrame, by: str | None = None, group_bytes: int | None = None, codec: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: the lineage ends there, a lost
     executor costs nothing that was finished, and later plans know the table's size.
 
     With ``by`` the table is bucketed on that column, so that joins and aggregations on it
     need no further shuffle of this side. ``group_bytes`` bounds the row groups, of which a task
-    holds one at a time."""
+    holds one at a time; ``codec`` is for large tables of texts, which zstd writes smaller."""
     spark = df.sparkSession
     name = f"cut_{uuid.uuid4().hex}"
     path = f"{shared_dir(spark)}/{name}"
+    writer = df.write.options(**{k: v for k, v in {"parquet.block.size": group_bytes, "compression": codec}.items() if v is not None})
     if by is None:
-        (df.write if group_bytes is None else df.write.option("parquet.block.size", group_bytes)).parquet(path)
+        writer.parquet(path)
         back = spark.read.schema(df.schema).parquet(path)
     else:
-        df.write.format("parquet").bucketBy(parallelism(df), by).option("path", path).saveAsTable(name)
+        writer.format("parquet").bucketBy(parallelism(df), by).option("path", path).saveAsTable(name)
         back = spark.table(name)
     back.cut_at = (path, None if by is None else name)
     return back

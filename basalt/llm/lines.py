@@ -382,23 +382,33 @@ def line_links(lines: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     return roots
 
 
+def _place(docs: DataFrame) -> Column:
+    """(doc_id, pos) as one value that orders alike: a number where ids are whole numbers, which
+    are grouped by hash, without sorting the lines."""
+    if not isinstance(docs.schema["doc_id"].dataType, T.IntegralType):
+        return F.struct("doc_id", "pos")
+    return F.col("doc_id").cast("decimal(19,0)") * F.lit(2**32).cast("decimal(10,0)") + F.col("pos").cast("decimal(10,0)")
+
+
 def lost_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Rows (doc_id, lost): for documents that lose lines, a mark for each line lost.
 
     A mark holds the line's position in its upper half and part of its key in the lower. Of
     every component of alike lines, the line first in (doc_id, position) stays.
     """
-    rows = split_lines(docs)
-    single = cut(rows.groupBy("k").agg(F.min("line").alias("line"), F.min(F.struct("doc_id", "pos")).alias("first"), F.count("*").alias("n")), "k")
+    rows = split_lines(docs).withColumn("place", _place(docs))
+    # Grouped by the lines too: as a value to be aggregated a text has all rows sorted.
+    single = cut(rows.groupBy("k", "line").agg(F.min("place").alias("first"), F.count("*").alias("n")), "k", codec="zstd")
     roots = line_links(single.select("k", "line"), threshold)
     places = single.select("k", "first", "n")
     named = places.join(roots, places["k"] == roots["node"], "left").select("k", "first", "n", "root")
     joined = cut(named.where("root is not null or n > 1"))
     heads = joined.where("root is not null").groupBy("root").agg(F.min("first").alias("head"))
     alike = joined.where("root is not null").join(heads, "root").select("k", "head")
-    kept = cut(alike.unionByName(joined.where("root is null").select("k", F.col("first").alias("head"))))
+    heads = alike.unionByName(joined.where("root is null").select("k", F.col("first").alias("head")))
+    kept = cut(heads.groupBy("k").agg(F.min("head").alias("head")))  # lines may share a key by chance
     discard(single, joined)
-    lost = rows.select("doc_id", "pos", "k").join(kept, "k").where("doc_id <> head.doc_id or pos <> head.pos")
+    lost = rows.select("doc_id", "pos", "k", "place").join(kept, "k").where("place <> head")
     return lost.groupBy("doc_id").agg(F.collect_set(_mark(F.col("pos"), F.col("k"))).alias("lost"))
 
 

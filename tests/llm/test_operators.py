@@ -186,6 +186,15 @@ def test_a_bucket_of_chained_lines_is_closed(spark, monkeypatch):
         assert {r["doc_id"] for r in lines.line_report(table(spark, rows)).collect() if r["n_kept"]} == stays
 
 
+def test_unlike_lines_of_one_key_stay(spark, monkeypatch):
+    split = lines.split_lines
+    monkeypatch.setattr(lines, "split_lines", lambda docs: split(docs).withColumn("k", F.when(F.col("line").startswith("one key"), F.lit(7).cast("long")).otherwise(F.col("k"))))
+    texts = {-(2**62): "one key: " + prose(9), 2**62: "one key, too: " + prose(9), 3: "twice", 4: "twice\ntwice"}
+    for kind, ids in (("long", int), ("string", str)):
+        docs = spark.createDataFrame([(ids(i), x) for i, x in texts.items()], f"doc_id {kind}, text string")
+        assert {r["doc_id"]: sorted(x >> 32 for x in r["lost"]) for r in lines.lost_lines(docs).collect()} == {ids(4): [0, 1]}
+
+
 def test_lines_repeats_nulls_and_nothing(spark):
     out = lines.line_report(table(spark, [(1, "same\nline", "s"), (1, "same\nline", "s"), (None, "same", "s")])).collect()
     assert sorted((r["n_lines"], r["n_kept"]) for r in out) == [(1, 1), (2, 2), (2, 2)]
