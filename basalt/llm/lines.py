@@ -10,7 +10,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -397,8 +396,12 @@ def lost_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     every component of alike lines, the line first in (doc_id, position) stays.
     """
     rows = split_lines(docs).withColumn("place", _place(docs))
-    # Grouped by the lines too: as a value to be aggregated a text has all rows sorted.
-    single = cut(rows.groupBy("k", "line").agg(F.min("place").alias("first"), F.count("*").alias("n")), "k", codec="zstd")
+    # Grouped by the key alone, so that a task holds whole buckets and writes a file for each of its
+    # own: grouped by the lines too, every task writes a file for every bucket.
+    other = F.xxhash64("line", F.lit(1))
+    grouped = rows.groupBy("k").agg(F.min("line").alias("line"), F.min("place").alias("first"), F.count("*").alias("n"), (F.min(other) < F.max(other)).alias("clash"))
+    # Unlike lines that share a key by chance all stay.
+    single = cut(grouped.where("not clash").drop("clash"), "k", codec="zstd")
     roots = line_links(single.select("k", "line"), threshold)
     places = single.select("k", "first", "n")
     named = places.join(roots, places["k"] == roots["node"], "left").select("k", "first", "n", "root")
@@ -420,33 +423,25 @@ def kept_texts(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` with three columns more, in place of columns of these names:
     ``kept_text``, the text without its lost lines, and ``n_lines`` and ``n_kept``."""
     lost = lost_lines(docs, threshold).select(F.col("doc_id").alias("lost_id"), F.col("lost").alias("lost_marks"))
-    added = ("kept_text", "n_lines", "n_kept")
-    columns = [c for c in docs.columns if c not in (*added, "lost_marks")]
+    columns = [c for c in docs.columns if c not in ("kept_text", "n_lines", "n_kept", "lost_marks")]
     joined = docs.join(lost, docs["doc_id"] == lost["lost_id"], "left").select(*(docs[c] for c in columns), lost["lost_marks"])
-    place = columns.index("text")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts, n_lines, n_kept = [], [], []
-            for text, marks in zip(batch.column(place), batch.column(len(columns))):
-                text, gone = text.as_py(), 0
-                lines = (text or "").count("\n") + 1 if text is not None else 0
-                if text is not None and marks.is_valid:
-                    parts = text.split("\n")
-                    for mark in marks.as_py():
-                        pos = mark >> 32
-                        if pos < lines and xxhash.xxh64_intdigest(parts[pos].encode(), 42) & 0xFFFFFFFF == mark & 0xFFFFFFFF:
-                            parts[pos] = None
-                            gone += 1
-                    text = "\n".join(x for x in parts if x is not None)
-                texts.append(text)
-                n_lines.append(lines)
-                n_kept.append(lines - gone)
-            more = [pa.array(texts, pa.string()), pa.array(n_lines, pa.int64()), pa.array(n_kept, pa.int64())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *more], names=[*columns, *added])
-
-    fields = [docs.schema[c] for c in columns] + [T.StructField("kept_text", T.StringType()), T.StructField("n_lines", T.LongType()), T.StructField("n_kept", T.LongType())]
-    return joined.mapInArrow(run, T.StructType(fields))
+    parts = F.split("text", "\n")
+    left = F.when(F.col("lost_marks").isNotNull(), _without("lost_marks", parts))
+    done = joined.withColumn("lost_marks", left).withColumns(
+        {
+            "kept_text": F.when(F.col("lost_marks").isNull(), F.col("text")).otherwise(F.array_join("lost_marks", "\n")),
+            "n_lines": F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(parts)).cast("long"),
+        }
+    )
+    n_kept = F.when(F.col("lost_marks").isNull(), F.col("n_lines")).otherwise(F.size("lost_marks").cast("long"))
+    return done.withColumn("n_kept", n_kept).drop("lost_marks")
+
+
+def _without(marks: str, parts: Column) -> Column:
+    """The ``parts`` whose marks are not among ``marks``. The parts are a variable of the outer
+    function, so that they are not split again for each line."""
+    kept = lambda x: F.array_except(F.transform(x, lambda line, i: _mark(i, F.xxhash64(line))), F.col(marks))
+    return F.transform(F.array(parts), lambda x: F.transform(kept(x), lambda mark: F.get(x, F.shiftright(mark, 32).cast("int"))))[0]
 
 
 def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from basalt.llm import bpe, html, itq, lines, mixing, rabitq, simhash, tokencount, toxicity
 from basalt.llm.chat import rotate
+from basalt.llm.common import settings
 from basalt.llm.components import connected_components
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, node string, root string, k string, lines string, size string, copies string, fp string"
@@ -195,6 +196,29 @@ def test_unlike_lines_of_one_key_stay(spark, monkeypatch):
         assert {r["doc_id"]: sorted(x >> 32 for x in r["lost"]) for r in lines.lost_lines(docs).collect()} == {ids(4): [0, 1]}
 
 
+def test_tables_of_lines_have_a_file_for_each_bucket(spark, monkeypatch):
+    files, cut = [], lines.cut
+
+    def counted(df, by=None, **more):
+        back = cut(df, by, **more)
+        files.append(len(back.inputFiles()) if by else 0)
+        return back
+
+    monkeypatch.setattr(lines, "cut", counted)
+    rows = [(i, "\n".join(prose(12) for _ in range(20)), "s") for i in range(60)]
+    with settings(spark, spark__sql__adaptive__coalescePartitions__enabled="false"):
+        assert len(lines.line_report(table(spark, rows)).collect()) == 60
+    assert 0 < max(files) <= 4  # shuffle partitions of the session
+
+
+def test_kept_texts_need_no_python(spark):
+    rows = [(1, "same\n\nown one\nsame\n", "s"), (2, "same", "s"), (3, "same\nsame", "s"), (4, "\nsame\n\n", "s"), (5, None, "s"), (6, "", "s"), (None, "same\nsame", "s")]
+    done = lines.kept_texts(table(spark, rows))
+    got = {r["doc_id"]: (r["kept_text"], r["n_lines"], r["n_kept"]) for r in done.collect()}
+    assert got == {1: ("same\n\nown one\n", 5, 4), 2: ("", 1, 0), 3: ("", 2, 0), 4: ("\n\n", 4, 3), 5: (None, 0, 0), 6: ("", 1, 1), None: ("same\nsame", 2, 2)}
+    assert "InArrow" not in done._jdf.queryExecution().executedPlan().toString()
+
+
 def test_lines_repeats_nulls_and_nothing(spark):
     out = lines.line_report(table(spark, [(1, "same\nline", "s"), (1, "same\nline", "s"), (None, "same", "s")])).collect()
     assert sorted((r["n_lines"], r["n_kept"]) for r in out) == [(1, 1), (2, 2), (2, 2)]
